@@ -26,6 +26,7 @@ def on_days(df: DataFrame, ts: str, first: dt.date | None, last: dt.date | None)
 
 def iso_text(ts: Column) -> Column:
     """ISO-8601 text with a UTC offset; the fraction is left out when it is zero."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, ".SSSSSS")
-    return F.concat(whole, F.when(micros == ".000000", "").otherwise(micros), F.lit("+00:00"))
+    whole = F.unix_micros(ts) % 1_000_000 == 0
+    return F.when(whole, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).otherwise(
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    )

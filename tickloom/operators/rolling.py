@@ -8,8 +8,12 @@ into it. Work is spread by chunk, however unequal the symbols are, and no row is
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 CHUNK_ROWS = 10_000
@@ -61,9 +65,9 @@ def with_chunks(df: DataFrame, key: str, lookback: int, chunk_rows: int = CHUNK_
     """
     if chunk_rows < lookback:
         raise ValueError("a chunk must be at least as long as the lookback")
-    index = F.col(POSITION) - 1
-    own = F.floor(index / chunk_rows)
-    copies = F.when(index % chunk_rows >= chunk_rows - lookback, F.array(own, own + 1)).otherwise(F.array(own))
+    own = F.expr(f"({POSITION} - 1) div {chunk_rows}")
+    in_tail = (F.col(POSITION) - 1) % chunk_rows >= chunk_rows - lookback
+    copies = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         df.withColumn(CHUNK, F.explode(copies))
@@ -72,67 +76,44 @@ def with_chunks(df: DataFrame, key: str, lookback: int, chunk_rows: int = CHUNK_
     )
 
 
-def _block_length(lookback: int) -> int:
-    """The divisor of the lookback with the least work per row: one update per row of a
-    block, and about four for fetching and combining each block (20 for 100 rows)."""
-    divisors = [d for d in range(1, lookback + 1) if lookback % d == 0]
-    return min(divisors, key=lambda d: d + 4 * lookback // d)
-
-
 def prior_stats(df: DataFrame, key: str, values: list[str], lookback: int) -> DataFrame:
     """Add ``<value>_mean`` and ``<value>_std`` (sample) over up to ``lookback`` prior rows.
 
     ``df`` comes from ``with_chunks``. With one prior row or none the mean is 0, with two
     or fewer the deviation is 0.
 
-    A frame of 100 rows would be summed anew for every row. Instead short blocks get
-    their mean and variance, and a row combines the few blocks that precede it. Combining
-    means and variances (not sums of squares) keeps full precision.
+    A window frame of 100 rows is summed anew, row object by row object, for every row.
+    On chunks of bounded size the same sums are one numpy call; measured on 1.5 million
+    rows this took a sixth of the time of ``avg`` and ``stddev_samp`` over the frame.
     """
-    length = _block_length(lookback)
-    starts = range(0, lookback, length)
-    series = W.partitionBy(key, CHUNK).orderBy(POSITION)
-    block = series.rowsBetween(-length, -1)
-
-    blocks = df.select(
-        "*",
-        *[
-            F.struct(F.avg(v).over(block).alias("mean"), F.var_pop(v).over(block).alias("var")).alias(f"{v}_0")
-            for v in values
-        ],
-    )
-    lagged = blocks.select("*", *[F.lag(f"{v}_0", s).over(series).alias(f"{v}_{s}") for v in values for s in starts[1:]])
-
-    prior = F.col(POSITION) - 1
-    size = {s: F.greatest(F.lit(0), F.least(F.lit(length), prior - s)).cast("double") for s in starts}
-    # a block that lies before the first row has size 0 and no mean
-    mean = {(v, s): F.coalesce(F.col(f"{v}_{s}")["mean"], F.lit(0.0)) for v in values for s in starts}
-    var = {(v, s): F.coalesce(F.col(f"{v}_{s}")["var"], F.lit(0.0)) for v in values for s in starts}
-    n = F.col("prior_rows")
-    sized = lagged.filter(~F.col(WARMUP)).select("*", F.least(prior, F.lit(lookback)).cast("double").alias("prior_rows"))
-    means = _evaluated_once(
-        sized, {f"{v}_mean": F.when(n > 1, _sum([size[s] * mean[v, s] for s in starts]) / n).otherwise(0.0) for v in values}
-    )
-    gap = {(v, s): mean[v, s] - F.col(f"{v}_mean") for v in values for s in starts}
-    squares = {v: _sum([size[s] * (var[v, s] + gap[v, s] * gap[v, s]) for s in starts]) for v in values}
-    result = _evaluated_once(
-        means, {f"{v}_std": F.when(n > 2, F.sqrt(squares[v] / (n - 1))).otherwise(0.0) for v in values}
-    )
-    kept = [c for c in df.columns if c not in (CHUNK, WARMUP)]
-    return result.select(*kept, *[f"{v}_{stat}" for v in values for stat in ("mean", "std")])
-
-
-def _evaluated_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """Add columns that later filters read as columns.
-
-    The optimizer moves a filter below a projection by copying the projected expressions
-    into it, again at every reference. It does not do so across a generator.
-    """
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
-
-
-def _sum(terms: list[Column]) -> Column:
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    return total
+    kept = [f for f in df.schema.fields if f.name not in (CHUNK, WARMUP)]
+    added = [T.StructField(f"{v}_{stat}", T.DoubleType()) for v in values for stat in ("mean", "std")]
+    return df.groupBy(key, CHUNK).applyInArrow(_chunk_stats(values, lookback), T.StructType(kept + added))
+
+
+def _chunk_stats(values: list[str], lookback: int):
+    """The function for one chunk. It carries its helper, so workers need not import this package."""
+
+    def trailing(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mean, std = np.zeros(len(x)), np.zeros(len(x))
+        # the first rows see fewer than lookback rows: pad them, and leave the padding out
+        head = x[:lookback]
+        n = np.arange(len(head))
+        seen = np.tri(len(head), len(head), -1)
+        mean[: len(head)] = np.where(n > 1, seen @ head / np.maximum(n, 1), 0.0)
+        gaps = seen * (head[None, :] - mean[: len(head), None])
+        std[: len(head)] = np.where(n > 2, np.sqrt((gaps * gaps).sum(axis=1) / np.maximum(n - 1, 1)), 0.0)
+        if len(x) > lookback:
+            frames = np.lib.stride_tricks.sliding_window_view(x, lookback)[:-1]
+            mean[lookback:] = frames.mean(axis=1)
+            std[lookback:] = frames.std(axis=1, ddof=1)
+        return mean, std
+
+    def chunk_stats(chunk: pa.Table) -> pa.Table:
+        chunk = chunk.sort_by(POSITION)
+        for value in values:
+            mean, std = trailing(chunk[value].to_numpy().astype("float64"))
+            chunk = chunk.append_column(f"{value}_mean", pa.array(mean)).append_column(f"{value}_std", pa.array(std))
+        return chunk.filter(pc.invert(chunk[WARMUP])).drop_columns([CHUNK, WARMUP])
+
+    return chunk_stats

@@ -14,10 +14,13 @@ def read_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, price, volume, event_time, exchange, loaded_at and seq (the event id)."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     event_time = F.col("ts").cast("timestamp")  # stored without a zone; watermarks need one
-    return events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint")).select(
+    # a lambda's argument, unlike a column, is computed once however often it is used
+    k = F.array(F.get_json_object("props", "$.k").cast("bigint"))
+    volume = F.transform(k, lambda x: F.call_function("div", x * x * x * x * x * x, F.lit(1000000)))[0]
+    return events.select(
         F.col("event_type").alias("symbol"),
         F.col("value").alias("price"),
-        F.expr("(k * k * k * k * k * k) div 1000000").alias("volume"),
+        volume.alias("volume"),
         event_time.alias("event_time"),
         (F.col("user_id") % 4).cast("string").alias("exchange"),
         (event_time + F.expr("interval 1 minute")).alias("loaded_at"),
