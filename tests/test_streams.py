@@ -84,7 +84,7 @@ def test_anomaly_stream_equals_batch_across_restarts(spark, chunk_rows):
         start_anomaly_stream(
             feed.trades(), output, f"{feed.folder}/cp", threshold=1.5, trigger=AVAILABLE_NOW, chunk_rows=chunk_rows
         ).awaitTermination()
-    streamed = spark.read.parquet(output).drop("batch_id", "detected_at")
+    streamed = spark.read.parquet(output).drop("anomaly_date", "batch_id", "detected_at")
     everything = spark.createDataFrame([(t,) for t in texts], "value string")
     batch = anomaly.anomalies(anomaly.score(messages.decode_trades(everything)), 1.5).drop("detected_at")
     assert batch.count() > 50

@@ -11,7 +11,7 @@ from tickloom.plans.incremental import last_date, load_realtime, realtime_since
 from tickloom.plans.marts import fct_realtime_ohlcv
 from tickloom.plans.staging import stg_ohlcv_1min
 from tickloom.session import run_dir, shared_dir
-from tickloom.sinks.tables import append_dates, replace_dates, replace_table
+from tickloom.sinks.tables import append_dates, replace_dates
 from tickloom.sources.warehouse import Warehouse
 
 DAY = 86_400
@@ -83,7 +83,8 @@ def filled_warehouse(spark, trades, streamed):
     replace_dates(trades.drop("seq").withColumn("trade_date", F.to_date("event_time")), warehouse.path(S.RAW_TRADES))
     bars = ohlcv(streamed, "1 minute").withColumn("trade_date", F.to_date("window_start"))
     replace_dates(bars, warehouse.path("ohlcv_1min"))
-    replace_table(anomaly.anomalies(anomaly.score(trades)), warehouse.path("anomalies"))
+    found = anomaly.with_anomaly_date(anomaly.anomalies(anomaly.score(trades)))
+    replace_dates(found, warehouse.path("anomalies"), date_col="anomaly_date")
     return warehouse
 
 

@@ -15,8 +15,8 @@ from tickloom.functions.rounding import round_half_up
 from tickloom.functions.temporal import iso_text
 from tickloom.operators import rolling
 
-def minute_of(ts: str) -> Column:
-    return F.expr(f"unix_seconds({ts}) div 60")
+def time_grain(ts: str, seconds: int = 60) -> Column:
+    return F.expr(f"unix_seconds({ts}) div {seconds}")
 
 
 def zscore(value: Column, mean: Column, deviation: Column) -> Column:
@@ -43,11 +43,16 @@ def score(
     lookback: int = S.LOOKBACK,
     chunk_rows: int = rolling.CHUNK_ROWS,
     tie_break: list[str] | None = None,
+    grain_seconds: int = 60,
 ) -> DataFrame:
-    """Add mean, deviation and z-score of price and volume; one symbol spreads over many tasks."""
+    """Add mean, deviation and z-score of price and volume; one symbol spreads over many tasks.
+
+    One symbol's trades of one grain are ranked in one task; shorten the grain if a minute
+    of the busiest symbol is too much for that.
+    """
     order = arrival_order(trades, tie_break)
     usable = trades.dropna(subset=["symbol", "price", "volume", "event_time"])
-    placed = rolling.with_position(usable, "symbol", minute_of("event_time"), order)
+    placed = rolling.with_position(usable, "symbol", time_grain("event_time", grain_seconds), order)
     return score_placed(placed, lookback, chunk_rows).drop(rolling.POSITION)
 
 
@@ -95,3 +100,8 @@ def anomalies(scored: DataFrame, threshold: float = S.Z_THRESHOLD, detected_at:
         classify.anomaly_type(price_hit, volume_hit).alias("anomaly_type"),
         iso_text(stamp).alias("detected_at"),
     )
+
+
+def with_anomaly_date(anomalies: DataFrame) -> DataFrame:
+    """Add the day of the trade, by which the anomaly table is partitioned."""
+    return anomalies.withColumn("anomaly_date", F.to_date(F.try_to_timestamp(F.col("timestamp"))))

@@ -14,8 +14,12 @@ def pick_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def unseen(polled: DataFrame, landed: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Polled rows whose key has not landed yet; of copies within the poll the first wins."""
-    return pick_one(polled, keys, order).join(landed.select(*keys), keys, "left_anti")
+    """Polled rows whose key has not landed yet; of copies within the poll the first wins.
+
+    Landed keys are made distinct, which cuts copies of a key before they are shuffled.
+    Pass only the days of ``landed`` that the poll can reach.
+    """
+    return pick_one(polled, keys, order).join(landed.select(*keys).distinct(), keys, "left_anti")
 
 
 def unseen_stream(trades: DataFrame) -> DataFrame:

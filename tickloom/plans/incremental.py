@@ -22,22 +22,39 @@ def last_date(table: DataFrame | None, date_col: str = "trade_date") -> dt.date
 def realtime_since(bars: DataFrame, since: dt.date) -> DataFrame:
     """The bar fact for dates from ``since`` on.
 
-    Earlier bars enter only as warm-up: the newest 49 per symbol that still trades, cut
-    down in each task before they are shuffled.
+    Earlier bars enter only as warm-up: the newest 49 of each symbol that still trades.
+    Counts per symbol and date, a scan of two columns, tell which dates hold them; only
+    those partitions are then read.
     """
     fresh = bars.filter(F.col("trade_date") >= F.lit(since))
+    older = bars.filter(F.col("trade_date") < F.lit(since))
+    needed = _warmup_dates(older, fresh.select("symbol").distinct())
+    dates = [row.trade_date for row in needed.select("trade_date").distinct().collect()]  # days, not bars
     newest = W.partitionBy("symbol").orderBy(F.col("window_start").desc())
     warmup = (
-        bars.filter(F.col("trade_date") < F.lit(since))
+        older.filter(F.col("trade_date").isin(dates))
+        .join(needed, ["symbol", "trade_date"], "left_semi")
         .withColumn("age", F.row_number().over(newest))
         .filter(F.col("age") < LONG_MEAN)
         .drop("age")
-        .join(fresh.select("symbol").distinct(), "symbol", "left_semi")
     )
     whole = fct_realtime_ohlcv(fresh.unionByName(warmup))
     return whole.filter(F.col("trade_date") >= F.lit(since))
 
 
+def _warmup_dates(older: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Each symbol's latest dates that together hold the warm-up bars."""
+    later_days = W.partitionBy("symbol").orderBy(F.col("trade_date").desc()).rowsBetween(W.unboundedPreceding, -1)
+    return (
+        older.groupBy("symbol", "trade_date")
+        .agg(F.count("*").alias("bars"))
+        .join(symbols, "symbol", "left_semi")
+        .withColumn("later", F.coalesce(F.sum("bars").over(later_days), F.lit(0)))
+        .filter(F.col("later") < LONG_MEAN - 1)
+        .select("symbol", "trade_date")
+    )
+
+
 def load_realtime(warehouse: Warehouse, bars: DataFrame, table: str = "fct_realtime_ohlcv") -> None:
     """Upsert: rebuild the newest loaded date and add later ones, a date at a time.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.classify import trading_session
 from tickloom.functions.rounding import percent_change
+from tickloom.operators.anomaly import with_anomaly_date
 from tickloom.operators.dedup import pick_one
 
 
@@ -18,6 +19,7 @@ def stg_trades(raw: DataFrame, tz: str | None = None) -> DataFrame:
     """
     newest = [F.col("loaded_at").desc(), *[F.col(c).desc() for c in ("price", "volume", "exchange")]]
     local = F.col("event_time") if tz is None else F.from_utc_timestamp("event_time", tz)
+    date = F.to_date(local) if tz else _date_of(raw, "event_time")
     hour = F.hour(local)
     return pick_one(raw, ["symbol", "event_time"], newest).select(
         "symbol",
@@ -25,7 +27,7 @@ def stg_trades(raw: DataFrame, tz: str | None = None) -> DataFrame:
         "volume",
         F.col("event_time").alias("trade_timestamp"),
         "exchange",
-        F.to_date(local).alias("trade_date"),
+        date.alias("trade_date"),
         hour.alias("trade_hour"),
         trading_session(hour).alias("trading_session"),
         "loaded_at",
@@ -44,7 +46,7 @@ def stg_ohlcv_1min(bars: DataFrame) -> DataFrame:
         "volume",
         "trade_count",
         "vwap",
-        F.to_date("window_start").alias("trade_date"),
+        _date_of(bars, "window_start").alias("trade_date"),
         F.hour("window_start").alias("trade_hour"),
         percent_change(F.col("open"), F.col("close")).alias("bar_return_pct"),
         (F.col("high") - F.col("low")).alias("price_range"),
@@ -52,12 +54,14 @@ def stg_ohlcv_1min(bars: DataFrame) -> DataFrame:
     )
 
 
-def _day_of(text: str) -> Column:
-    return F.to_date(F.try_to_timestamp(F.col(text)))
+def _date_of(df: DataFrame, ts: str) -> Column:
+    """The UTC date; a table's own partition column, where it has one, so filters prune it."""
+    return F.col("trade_date") if "trade_date" in df.columns else F.to_date(ts)
 
 
 def stg_anomalies(anomalies: DataFrame) -> DataFrame:
-    return anomalies.select(
+    dated = anomalies if "anomaly_date" in anomalies.columns else with_anomaly_date(anomalies)
+    return dated.select(
         "symbol",
         "price",
         "volume",
@@ -71,5 +75,5 @@ def stg_anomalies(anomalies: DataFrame) -> DataFrame:
         "severity",
         "anomaly_type",
         "detected_at",
-        _day_of("timestamp").alias("anomaly_date"),
+        "anomaly_date",
     )

@@ -467,4 +467,4 @@ def _stream_anomalies(spark, sf_dir):
             trades, f"{folder}/anomalies", f"{folder}/checkpoint", trigger=AVAILABLE_NOW
         ),
     )
-    return spark.read.parquet(f"{folder}/anomalies").drop("batch_id", "detected_at")
+    return spark.read.parquet(f"{folder}/anomalies").drop("anomaly_date", "batch_id", "detected_at")

@@ -23,6 +23,12 @@ TOPIC_TRADES = "stock.trades"
 TOPIC_ANOMALIES = "stock.anomalies"
 RAW_TRADES = "trades_raw_stream"
 
+ANOMALY = (
+    "symbol string, price double, volume bigint, timestamp string, price_zscore double, volume_zscore double, "
+    "price_mean double, price_std double, volume_mean double, volume_std double, severity string, "
+    "anomaly_type string, detected_at string, anomaly_date date"
+)
+
 # Anomaly scoring.
 LOOKBACK = 100
 Z_WARNING = 2.0

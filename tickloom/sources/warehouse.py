@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.schemas import BAR_WINDOWS, RAW_TRADES
+from tickloom.schemas import ANOMALY, BAR_WINDOWS, RAW_TRADES
 
 # The tables written by the speed and batch layers.
 SOURCE_TABLES = [RAW_TRADES, *BAR_WINDOWS, "anomalies", "daily_summary_batch"]
 
+# tables that may hold no file yet, from which a schema could be read
+_SCHEMAS = {"anomalies": ANOMALY}
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -20,7 +23,8 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+        reader = self.spark.read
+        return (reader.schema(_SCHEMAS[table]) if table in _SCHEMAS else reader).parquet(self.path(table))
 
     def read_or_none(self, table: str) -> DataFrame | None:
         """The table, or None before its first load."""

@@ -62,7 +62,7 @@ class RollingDetector:
         reached = state.groupBy("symbol").agg(F.max("position").alias("last_position"))
         trades = usable_trades(batch)
         placed = rolling.with_position(
-            trades, "symbol", anomaly.minute_of("event_time"), anomaly.arrival_order(trades, None), after=reached
+            trades, "symbol", anomaly.time_grain("event_time"), anomaly.arrival_order(trades, None), after=reached
         ).persist()
         try:
             known = state.select("symbol", rolling.POSITION, "price", "volume")
@@ -70,12 +70,20 @@ class RollingDetector:
                 known.withColumn("is_new", F.lit(False)), allowMissingColumns=True
             )
             scored = anomaly.score_placed(both, self.lookback, self.chunk_rows).filter("is_new")
-            events = anomaly.anomalies(scored, self.threshold)
-            events.write.mode("overwrite").parquet(f"{self.output}/batch_id={batch_id}")
+            events = anomaly.with_anomaly_date(anomaly.anomalies(scored, self.threshold))
+            self._write_events(events.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
             self._write_state(placed, known, batch_id)
         finally:
             placed.unpersist()
 
+    def _write_events(self, events: DataFrame) -> None:
+        (
+            events.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("anomaly_date", "batch_id")
+            .parquet(self.output)
+        )
+
     def _write_state(self, placed: DataFrame, known: DataFrame, batch_id: int) -> None:
         newest = W.partitionBy("symbol").orderBy(F.col(rolling.POSITION).desc())
         (
