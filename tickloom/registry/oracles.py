@@ -479,6 +479,14 @@ def all_oracles() -> dict[str, str]:
             [TRADES, DAY_SUMMARY], "SELECT * FROM day_summary WHERE trade_date = DATE '2024-01-15'"
         ),
         "reconcile_batch_side": _with([TRADES, _batch_side("trades")], "SELECT * FROM batch"),
+        "reconcile_batch_side_many_symbols": _with(
+            [
+                """shipments AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, l_extendedprice / l_quantity AS price,
+                   CAST(l_quantity AS BIGINT) AS volume, l_shipdate AS event_time FROM lineitem)""",
+                _batch_side("shipments"),
+            ],
+            _tidy("SELECT * FROM batch", "min_price", "max_price"),
+        ),
         "reconcile_stream_side": _with([TRADES, MINUTE_BARS, STREAM_SIDE], "SELECT * FROM stream"),
         "reconcile_discrepancies": _with(RECONCILED, "SELECT * FROM issues"),
         "reconcile_report": _with(RECONCILED, "SELECT * FROM reports"),
@@ -539,6 +547,22 @@ def all_oracles() -> dict[str, str]:
         ),
         "incremental_daily_reprocessed": _two_loads("true"),
         "stream_ohlcv_1hr": stream_bars,
+        "stream_ohlcv_sliding": _with(
+            [
+                TRADES,
+                """windowed AS (SELECT trades.*, time_bucket(INTERVAL 30 MINUTES, event_time)
+                   - to_minutes(CAST(30 * i AS INTEGER)) AS window_start FROM trades, range(2) AS steps(i))""",
+            ],
+            _tidy(
+                """SELECT symbol, arg_min(price, event_time) AS open, max(price) AS high, min(price) AS low,
+                   arg_max(price, event_time) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count,
+                   avg(price) AS vwap, sum(price * volume) / nullif(sum(volume), 0) AS vwap_weighted, window_start,
+                   window_start + INTERVAL 1 HOUR AS window_end, '1 hour' AS window_duration
+                   FROM windowed GROUP BY symbol, window_start
+                   HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(event_time) - INTERVAL 30 SECONDS FROM trades)""",
+                *_BAR_DOUBLES,
+            ),
+        ),
         "stream_raw_trades": _with(
             [TRADES], "SELECT symbol, price, volume, event_time, exchange, CAST(event_time AS DATE) AS trade_date FROM trades"
         ),

@@ -218,6 +218,11 @@ def _reconcile_batch_side(spark, sf_dir):
     return reconcile.batch_side(_trades(spark, sf_dir))
 
 
+@query("reconcile_batch_side_many_symbols")
+def _reconcile_batch_side_many_symbols(spark, sf_dir):
+    return reconcile.batch_side(events.read_shipments(spark, sf_dir))
+
+
 @query("reconcile_stream_side")
 def _reconcile_stream_side(spark, sf_dir):
     return reconcile.stream_side(ohlcv(_trades(spark, sf_dir), "1 minute"))
@@ -423,6 +428,23 @@ def _stream_ohlcv_1hr(spark, sf_dir):
     return bars.read("ohlcv_1hr")
 
 
+@query("stream_ohlcv_sliding")
+def _stream_ohlcv_sliding(spark, sf_dir):
+    folder = run_dir(spark, "stream_ohlcv_sliding")
+    _stream_in_landings(
+        spark,
+        sf_dir,
+        folder,
+        lambda trades: to_table(
+            ohlcv(messages.with_watermark(trades), "1 hour", "30 minutes"),
+            f"{folder}/bars",
+            f"{folder}/checkpoint",
+            AVAILABLE_NOW,
+        ),
+    )
+    return spark.read.parquet(f"{folder}/bars")
+
+
 @query("stream_raw_trades")
 def _stream_raw_trades(spark, sf_dir):
     folder = run_dir(spark, "stream_raw_trades")

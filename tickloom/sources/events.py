@@ -28,6 +28,19 @@ def read_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def read_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``lineitem`` table as trades of many symbols: suppliers, unit prices and quantities.
+
+    Its times are whole days, so it suits measures that do not depend on order.
+    """
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_suppkey").cast("string").alias("symbol"),
+        (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
+        F.col("l_quantity").cast("bigint").alias("volume"),
+        F.col("l_shipdate").cast("timestamp").alias("event_time"),
+    )
+
+
 def with_corrections(trades: DataFrame) -> DataFrame:
     """Trades plus a correction of every trade of venue 0: a minute later, one higher."""
     corrected = trades.filter(F.col("exchange") == "0").withColumns(
