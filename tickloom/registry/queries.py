@@ -17,7 +17,7 @@ from tickloom.plans.incremental import load_daily, load_realtime
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
 from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min, stg_trades
 from tickloom.schemas import BAR_WINDOWS
-from tickloom.session import pin_utc, run_dir
+from tickloom.session import fit_local, pin_utc, run_dir
 from tickloom.sinks.streams import AVAILABLE_NOW, to_message_files, to_table
 from tickloom.sources import events, intraday, messages, ticks
 from tickloom.sources.warehouse import Warehouse
@@ -40,7 +40,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _comparable(build(pin_utc(spark), sf_dir))
+            return _comparable(build(fit_local(pin_utc(spark)), sf_dir))
 
         _queries[name] = run
         return build

@@ -37,6 +37,18 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_local(spark: SparkSession) -> SparkSession:
+    """On a local master, no more shuffle partitions than threads.
+
+    A stream keeps one state store per partition, and the default of 200 stores takes
+    minutes on one machine. A cluster keeps its own setting.
+    """
+    threads = spark.sparkContext.defaultParallelism
+    if spark.sparkContext.master.startswith("local") and threads < int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", threads)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
