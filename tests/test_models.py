@@ -144,3 +144,9 @@ def test_chunked_moving_averages_equal_the_plain_ones(trades_of):
     plain = fct_realtime_ohlcv(bars, chunk_rows=None)
     assert chunked.count() == 400
     assert chunked.exceptAll(plain).count() == plain.exceptAll(chunked).count() == 0
+
+
+def test_bars_without_a_symbol_are_kept(spark, trades_of):
+    bars = bars_of(trades_of, [1, 2, 3]).withColumn("symbol", F.lit(None).cast("string"))
+    kept = fct_realtime_ohlcv(bars.unionByName(bars_of(trades_of, [4]))).orderBy("symbol", "window_start").collect()
+    assert [(r.symbol, r.sma_20) for r in kept] == [(None, 1.0), (None, 1.5), (None, 2.0), ("A", 4.0)]

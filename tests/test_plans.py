@@ -87,3 +87,28 @@ def test_plain_moving_averages_need_one_shuffle(trades):
     )
     text = plan(fct_realtime_ohlcv(bars, chunk_rows=None))
     assert text.count("Exchange hashpartitioning") <= 2
+
+
+def test_detection_day_reaches_the_scan(spark):
+    from tickloom import schemas as S
+    from tickloom.plans.dashboards import recent_anomalies
+
+    path = run_dir(spark, "plans") + "/anomalies"
+    spark.createDataFrame([], S.ANOMALY).write.parquet(path)
+    text = plan(recent_anomalies(spark.read.schema(S.ANOMALY).parquet(path), dt.date(2024, 1, 15)))
+    assert "GreaterThanOrEqual(detected_at,2024-01-15)" in text and "LessThan(detected_at,2024-01-16)" in text
+    assert "TakeOrderedAndProject" in text
+
+
+def test_incremental_reads_only_the_dates_it_needs(spark, trades):
+    from tickloom.plans.incremental import realtime_since
+
+    bars = trades.selectExpr(
+        "symbol", "trade_date", "event_time as window_start", "event_time as window_end", "hour(event_time) as trade_hour",
+        "price as open", "price as high", "price as low", "price as close", "volume", "1L as trade_count",
+        "price as vwap", "0.0D as bar_return_pct", "0.0D as price_range",
+    )
+    text = plan(realtime_since(bars, dt.date(2024, 1, 28)))
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert all("PartitionFilters: [" in line and "trade_date" in line.split("PartitionFilters")[1] for line in scans)
+    assert any("IN (" in line or "INSET" in line or " IN " in line for line in scans)

@@ -26,14 +26,19 @@ def volume_series(bars: DataFrame, symbol: str, as_of: dt.date) -> DataFrame:
     return _symbol_day(bars, symbol, as_of).select(F.col("window_start").alias("time"), "volume").orderBy("time")
 
 
-def detected_on() -> Column:
-    return F.to_date(F.try_to_timestamp(F.col("detected_at")))
+def _detected(since: dt.date, until: dt.date | None = None) -> Column:
+    """Detection day as a range on the ISO text (UTC, so it sorts like the time), which
+    reaches the scan, where a parsed date would not."""
+    found = F.col("detected_at") >= since.isoformat()
+    if until is not None:
+        found &= F.col("detected_at") < (until + dt.timedelta(days=1)).isoformat()
+    return found
 
 
 def recent_anomalies(anomalies: DataFrame, as_of: dt.date, top: int = 50) -> DataFrame:
     """The day's latest anomalies; the values settle equal detection times."""
     return (
-        anomalies.filter(detected_on() == F.lit(as_of))
+        anomalies.filter(_detected(as_of, as_of))
         .select("symbol", "severity", "anomaly_type", "price", "price_zscore", "volume_zscore", "detected_at")
         .orderBy(F.col("detected_at").desc(), "symbol", F.col("price").desc(), F.col("volume_zscore").desc())
         .limit(top)
@@ -42,7 +47,7 @@ def recent_anomalies(anomalies: DataFrame, as_of: dt.date, top: int = 50) -> Dat
 
 def anomaly_counts(anomalies: DataFrame, as_of: dt.date) -> DataFrame:
     return (
-        anomalies.filter(detected_on() == F.lit(as_of))
+        anomalies.filter(_detected(as_of, as_of))
         .groupBy("symbol")
         .agg(F.count("*").alias("count"))
         .orderBy(F.col("count").desc(), "symbol")
@@ -51,7 +56,7 @@ def anomaly_counts(anomalies: DataFrame, as_of: dt.date) -> DataFrame:
 
 def recent_zscores(anomalies: DataFrame, as_of: dt.date, days: int = 7) -> DataFrame:
     since = as_of - dt.timedelta(days=days)
-    return anomalies.filter(detected_on() >= F.lit(since)).select("price_zscore")
+    return anomalies.filter(_detected(since)).select("price_zscore")
 
 
 def recent_returns(daily_market: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:

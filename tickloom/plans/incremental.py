@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
-from tickloom.plans.marts import LONG_MEAN, fct_daily_market, fct_realtime_ohlcv
+from tickloom.plans.marts import LONG_MEAN, fct_daily_market, fct_realtime_ohlcv, series_key
 from tickloom.sinks.tables import append_dates, replace_dates
 from tickloom.sources.warehouse import Warehouse
 
@@ -26,32 +26,33 @@ def realtime_since(bars: DataFrame, since: dt.date) -> DataFrame:
     Counts per symbol and date, a scan of two columns, tell which dates hold them; only
     those partitions are then read.
     """
-    fresh = bars.filter(F.col("trade_date") >= F.lit(since))
-    older = bars.filter(F.col("trade_date") < F.lit(since))
-    needed = _warmup_dates(older, fresh.select("symbol").distinct())
+    keyed = bars.withColumn("series", series_key())
+    fresh = keyed.filter(F.col("trade_date") >= F.lit(since))
+    older = keyed.filter(F.col("trade_date") < F.lit(since))
+    needed = _warmup_dates(older, fresh.select("series").distinct())
     dates = [row.trade_date for row in needed.select("trade_date").distinct().collect()]  # days, not bars
-    newest = W.partitionBy("symbol").orderBy(F.col("window_start").desc())
+    newest = W.partitionBy("series").orderBy(F.col("window_start").desc())
     warmup = (
         older.filter(F.col("trade_date").isin(dates))
-        .join(needed, ["symbol", "trade_date"], "left_semi")
+        .join(needed, ["series", "trade_date"], "left_semi")
         .withColumn("age", F.row_number().over(newest))
         .filter(F.col("age") < LONG_MEAN)
         .drop("age")
     )
-    whole = fct_realtime_ohlcv(fresh.unionByName(warmup))
+    whole = fct_realtime_ohlcv(fresh.unionByName(warmup).drop("series"))
     return whole.filter(F.col("trade_date") >= F.lit(since))
 
 
-def _warmup_dates(older: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Each symbol's latest dates that together hold the warm-up bars."""
-    later_days = W.partitionBy("symbol").orderBy(F.col("trade_date").desc()).rowsBetween(W.unboundedPreceding, -1)
+def _warmup_dates(older: DataFrame, traded: DataFrame) -> DataFrame:
+    """Each series' latest dates that together hold the warm-up bars."""
+    later_days = W.partitionBy("series").orderBy(F.col("trade_date").desc()).rowsBetween(W.unboundedPreceding, -1)
     return (
-        older.groupBy("symbol", "trade_date")
+        older.groupBy("series", "trade_date")
         .agg(F.count("*").alias("bars"))
-        .join(symbols, "symbol", "left_semi")
+        .join(traded, "series", "left_semi")
         .withColumn("later", F.coalesce(F.sum("bars").over(later_days), F.lit(0)))
         .filter(F.col("later") < LONG_MEAN - 1)
-        .select("symbol", "trade_date")
+        .select("series", "trade_date")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -30,9 +30,16 @@ def fct_realtime_ohlcv(bars: DataFrame, chunk_rows: int | None = rolling.CHUNK_R
     if chunk_rows is None:
         day = W.partitionBy("symbol", "trade_date").orderBy("window_start")
         return _with_signals(bars.withColumn("bar_sequence", F.row_number().over(day)), ["symbol"])
-    placed = rolling.with_position(bars, "symbol", F.col("trade_date"), ["window_start"], rank_as="bar_sequence")
-    chunks = rolling.with_chunks(placed, "symbol", LONG_MEAN - 1, chunk_rows)
-    return _with_signals(chunks, ["symbol", rolling.CHUNK], warmup=rolling.WARMUP)
+    keyed = bars.withColumn("series", series_key())
+    placed = rolling.with_position(keyed, "series", F.col("trade_date"), ["window_start"], rank_as="bar_sequence")
+    chunks = rolling.with_chunks(placed, "series", LONG_MEAN - 1, chunk_rows)
+    return _with_signals(chunks, ["series", rolling.CHUNK], warmup=rolling.WARMUP)
+
+
+def series_key() -> Column:
+    """A key for joins that, unlike the symbol, is never null: bars without a symbol are
+    a series of their own, which the quality checks report, and must not get lost."""
+    return F.coalesce(F.concat(F.lit("="), F.col("symbol")), F.lit(""))
 
 
 def _with_signals(bars: DataFrame, keys: list[str], warmup: str | None = None) -> DataFrame:
