@@ -16,9 +16,9 @@ SF = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
         },

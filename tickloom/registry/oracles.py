@@ -417,7 +417,8 @@ def all_oracles() -> dict[str, str]:
         ),
     )
     realtime = _with([TRADES, MINUTE_BARS, STAGED, _signals()], _tidy("SELECT * FROM realtime", *_FACT_DOUBLES))
-    z_means = ("price_mean", "price_std", "volume_mean", "volume_std", "price_zscore", "volume_zscore")
+    digits = {"price_mean": 4, "price_std": 4, "price_zscore": 4, "volume_mean": 2, "volume_std": 2, "volume_zscore": 4}
+    scored_columns = ", ".join(f"{_rounded(name, n)} AS {name}" for name, n in digits.items())
     day = "WHERE symbol = 'view' AND CAST(window_start AS DATE) = DATE '2024-01-15' ORDER BY window_start"
     return {
         "trades_decoded": _with(
@@ -469,7 +470,7 @@ def all_oracles() -> dict[str, str]:
                 *_BAR_DOUBLES,
             ),
         ),
-        "trades_scored": _with([TRADES, _scored()], _tidy("SELECT * FROM scored", *z_means)),
+        "trades_scored": _with([TRADES, _scored()], f"SELECT * REPLACE ({scored_columns}) FROM scored"),
         "anomalies_zscore": _with(ANOMALIES, "SELECT * FROM found"),
         "anomalies_zscore_halo": _with(ANOMALIES, "SELECT * FROM found"),
         "anomalies_low_threshold": _with([TRADES, _scored(), _found(1.5)], "SELECT * FROM found"),

@@ -167,8 +167,10 @@ def _ohlcv_sliding_5min_1min(spark, sf_dir):
 
 @query("trades_scored")
 def _trades_scored(spark, sf_dir):
-    """Every trade with its rolling statistics."""
-    return anomaly.score(_trades(spark, sf_dir)).drop("exchange", "loaded_at")
+    """Every trade with its rolling statistics, rounded as in the anomaly events."""
+    scored = anomaly.score(_trades(spark, sf_dir)).drop("exchange", "loaded_at")
+    digits = {"price_mean": 4, "price_std": 4, "price_zscore": 4, "volume_mean": 2, "volume_std": 2, "volume_zscore": 4}
+    return scored.withColumns({name: round_half_up(F.col(name), n) for name, n in digits.items()})
 
 
 @query("anomalies_zscore")
