@@ -7,9 +7,9 @@ from tickloom import schemas as S
 from tickloom.operators import anomaly, reconcile
 from tickloom.operators.bars import ohlcv
 from tickloom.plans.daily_run import run_day
-from tickloom.plans.incremental import last_date, load_realtime, realtime_since
-from tickloom.plans.marts import fct_realtime_ohlcv
-from tickloom.plans.staging import stg_ohlcv_1min
+from tickloom.plans.incremental import last_date, load_realtime, load_symbols, realtime_since
+from tickloom.plans.marts import dim_symbols, fct_realtime_ohlcv
+from tickloom.plans.staging import stg_ohlcv_1min, stg_trades
 from tickloom.session import run_dir, shared_dir
 from tickloom.sinks.tables import append_dates, replace_dates
 from tickloom.sources.warehouse import Warehouse
@@ -107,3 +107,25 @@ def test_daily_run_stops_on_a_severe_discrepancy(spark, trades_of):
     with pytest.raises(reconcile.ReconciliationFailed, match="1 high-severity"):
         run_day(warehouse, dt.date(2024, 1, 1))
     assert warehouse.read("reconciliation_log").first().status == "FAIL"
+
+
+def test_symbol_dimension_takes_in_late_trades_and_corrections(spark, trades_of):
+    trades = trades_of([("AB"[i % 2], float(i), i, i * 3600 * 7) for i in range(20)])
+    no_anomalies = spark.createDataFrame([], "symbol string, severity string")
+    warehouse = Warehouse(spark, run_dir(spark, "symbols"))
+    load_symbols(warehouse, trades, no_anomalies)
+    # a correction and a late trade of an old day, an undated trade, and a new symbol
+    later = trades.agg(F.max("loaded_at").alias("t")).first().t
+    extra = trades_of([("A", 50.0, 7, 0), ("B", 9.0, 1, 3600), ("A", 3.0, 5, 1), ("C", 4.0, 1, 900000)])
+    extra = extra.withColumns(
+        {
+            "loaded_at": F.lit(later) + F.expr("interval 1 hour"),
+            "event_time": F.when(F.col("seq") != 2, F.col("event_time")),
+        }
+    )
+    everything = trades.unionByName(extra)
+    load_symbols(warehouse, everything, no_anomalies)
+    incremental = warehouse.read("dim_symbols")
+    whole = dim_symbols(stg_trades(everything), no_anomalies)
+    assert incremental.count() == 3
+    assert incremental.exceptAll(whole).count() == whole.exceptAll(incremental).count() == 0

@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import quality, reconcile
 from tickloom.operators.daily import daily_summary
-from tickloom.plans.incremental import load_daily, load_realtime
-from tickloom.plans.marts import dim_symbols
-from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min, stg_trades
+from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
+from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min
 from tickloom.schemas import RAW_TRADES
-from tickloom.sinks.tables import append_log, replace_dates, replace_table
+from tickloom.sinks.tables import append_log, replace_dates
 from tickloom.sources.warehouse import Warehouse
 
 
@@ -29,7 +28,7 @@ def build_marts(warehouse: Warehouse) -> None:
     anomalies = stg_anomalies(warehouse.read("anomalies"))
     load_realtime(warehouse, bars)
     load_daily(warehouse, bars, anomalies)
-    replace_table(dim_symbols(stg_trades(warehouse.read(RAW_TRADES)), anomalies), warehouse.path("dim_symbols"))
+    load_symbols(warehouse, warehouse.read(RAW_TRADES), anomalies)
 
 
 def check_marts(warehouse: Warehouse) -> None:

@@ -9,8 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
-from tickloom.plans.marts import LONG_MEAN, fct_daily_market, fct_realtime_ohlcv, series_key
-from tickloom.sinks.tables import append_dates, replace_dates
+from tickloom.plans.marts import (
+    LONG_MEAN,
+    dim_symbols_of_days,
+    fct_daily_market,
+    fct_realtime_ohlcv,
+    series_key,
+    symbol_days,
+)
+from tickloom.plans.staging import stg_trades
+from tickloom.sinks.tables import append_dates, replace_dates, replace_table
 from tickloom.sources.warehouse import Warehouse
 
 
@@ -88,3 +96,22 @@ def load_daily(
     result = fct_daily_market(int_symbol_daily_stats(bars), int_anomaly_summary(anomalies))
     write = append_dates if mode == "append_new" else replace_dates
     write(result, warehouse.path(table))
+
+
+def load_symbols(warehouse: Warehouse, raw: DataFrame, anomalies: DataFrame, table: str = "dim_symbols") -> None:
+    """Rebuild the symbol dimension from a kept table of daily sums.
+
+    Copies of a trade share its time, so each day can be summed on its own. Only days with
+    trades loaded since the last run, late ones included, are read in full and replaced.
+    """
+    days = f"{table}_days"
+    kept = warehouse.read_or_none(days)
+    until = None if kept is None else kept.agg(F.max("loaded_until")).first()[0]
+    if until is not None:
+        raw = raw if "trade_date" in raw.columns else raw.withColumn("trade_date", F.to_date("event_time"))
+        loaded = raw.filter(F.col("loaded_at") >= F.lit(until)).select("trade_date").distinct()
+        dates = [row.trade_date for row in loaded.collect()]  # days, not trades
+        changed = F.col("trade_date").isin([d for d in dates if d is not None])
+        raw = raw.filter(changed | F.col("trade_date").isNull() if None in dates else changed)
+    replace_dates(symbol_days(stg_trades(raw)), warehouse.path(days))
+    replace_table(dim_symbols_of_days(warehouse.read(days), anomalies), warehouse.path(table))

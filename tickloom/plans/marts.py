@@ -115,18 +115,27 @@ def fct_daily_market(daily_stats: DataFrame, anomaly_summary: DataFrame) -> Data
 
 
 def dim_symbols(trades: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """One row per symbol from staged trades and staged anomalies.
+    """One row per symbol from staged trades and staged anomalies."""
+    return dim_symbols_of_days(symbol_days(trades), anomalies)
 
-    Trades are first summed per symbol and day, so a hot symbol reaches the last
-    aggregation as one row per day. ``avg_daily_volume`` is the mean volume of a trade,
-    on which the tiers are judged; ``true_avg_daily_volume`` is the mean of daily totals.
-    """
-    per_day = trades.groupBy("symbol", "trade_date").agg(
+
+def symbol_days(trades: DataFrame) -> DataFrame:
+    """Staged trades summed per symbol and day, up to the newest load among them."""
+    return trades.groupBy("symbol", "trade_date").agg(
         F.count("volume").alias("volumes"),
         F.sum("volume").alias("volume"),
         F.count("price").alias("prices"),
         F.sum("price").alias("price_sum"),
+        F.max("loaded_at").alias("loaded_until"),
     )
+
+
+def dim_symbols_of_days(per_day: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """The dimension from daily sums: a hot symbol is one row per day.
+
+    ``avg_daily_volume`` is the mean volume of a trade, on which the tiers are judged;
+    ``true_avg_daily_volume`` is the mean of daily totals.
+    """
     mean_volume = F.sum("volume") / F.nullif(F.sum("volumes"), F.lit(0))
     seen = per_day.groupBy("symbol").agg(
         F.min("trade_date").alias("first_seen"),
