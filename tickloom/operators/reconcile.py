@@ -14,6 +14,11 @@ from tickloom.functions.temporal import on_days
 TOLERANCE = 0.01
 SEVERE = 0.05
 
+# Fixed value: the text of the failure alert.
+FAILURE_TEXT = (
+    ":warning: *Stock Pipeline Reconciliation Failed*\nDate: %s\nDiscrepancies: %d\nHigh Severity: %d"
+)
+
 _ISSUE = "struct<issue:string,severity:string,batch_value:double,stream_value:double,diff_pct:double>"
 
 
@@ -139,7 +144,7 @@ def failure_text(reports: DataFrame) -> DataFrame:
     return reports.select(
         "reconciliation_date",
         F.format_string(
-            ":warning: *Stock Pipeline Reconciliation Failed*\nDate: %s\nDiscrepancies: %d\nHigh Severity: %d",
+            FAILURE_TEXT,
             F.col("reconciliation_date").cast("string"),
             F.col("discrepancy_count"),
             F.col("high_severity_count"),

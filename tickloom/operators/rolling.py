@@ -33,8 +33,8 @@ def with_position(
     """Number each key's rows 1..n in ``grain``, then ``order``.
 
     ``grain`` is a coarse part of the order (a minute, a date). Counts per key and grain
-    are small and give each grain its offset; only within a grain are rows sorted and
-    ranked. ``after`` (key, last_position) continues an earlier numbering.
+    give each grain its offset: one row per grain of history, however many rows it holds.
+    Only within a grain are rows sorted and ranked. ``after`` (key, last_position) continues an earlier numbering.
     """
     keyed = df.withColumn("grain", grain)
     per_grain = keyed.groupBy(key, "grain").agg(F.count("*").alias("grain_rows"))

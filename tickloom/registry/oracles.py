@@ -547,6 +547,9 @@ def all_oracles() -> dict[str, str]:
             "trade_date <> DATE '2024-01-15' OR window_start < TIMESTAMP '2024-01-15 12:00:00'"
         ),
         "incremental_daily_reprocessed": _two_loads("true"),
+        "incremental_symbols": _with(
+            [*ANOMALIES, STAGED_FOUND, CORRECTED, _staged_trades("corrected"), SYMBOLS], "SELECT * FROM symbols"
+        ),
         "stream_ohlcv_1hr": stream_bars,
         "stream_ohlcv_sliding": _with(
             [

@@ -13,7 +13,7 @@ from tickloom.operators import alerts, anomaly, dedup, quality, reconcile, unive
 from tickloom.operators.bars import ohlcv
 from tickloom.operators.daily import daily_summary
 from tickloom.plans import dashboards, marts
-from tickloom.plans.incremental import load_daily, load_realtime
+from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
 from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min, stg_trades
 from tickloom.schemas import BAR_WINDOWS
@@ -396,6 +396,16 @@ def _incremental_daily_reprocessed(spark, sf_dir):
     return _load_daily_twice(spark, sf_dir, "reprocess_last")
 
 
+@query("incremental_symbols")
+def _incremental_symbols(spark, sf_dir):
+    """Trades and corrections loaded up to the middle of a day, then all of them."""
+    warehouse = Warehouse(spark, run_dir(spark, "incremental_symbols"))
+    raw, found = events.with_corrections(_trades(spark, sf_dir)), stg_anomalies(_anomalies(spark, sf_dir))
+    load_symbols(warehouse, raw.filter(F.col("loaded_at") < F.lit(FIRST_LOAD_ENDS).cast("timestamp")), found)
+    load_symbols(warehouse, raw, found)
+    return warehouse.read("dim_symbols")
+
+
 # --- streams ----------------------------------------------------------------------------------------------
 
 

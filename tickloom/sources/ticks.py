@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.temporal import iso_text
 
-# Every field is read as text first, so one odd value cannot null its neighbours.
+# The field names of a tick event. Every field is read as text first, so one odd value cannot null its neighbours.
 _EVENTS = "array<struct<ev:string,sym:string,p:string,s:string,t:string,x:string,c:string>>"
 
 
