@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,9 +18,6 @@ SESSION_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-_fallback_dirs: dict[str, str] = {}
-
-
 def build_session(app_name: str = "tickloom", master: str | None = None, **settings) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -52,18 +48,14 @@ def fit_local(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may run without the setting; it then gets a fresh scratch
-    folder, which is what tests use.
+    Where that is unset, as in tests, a folder of this application in the warehouse, which
+    executors share as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_dirs:
-        _fallback_dirs[app] = tempfile.mkdtemp(prefix="tickloom-")
-    return _fallback_dirs[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_shared/{spark.sparkContext.applicationId}"
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
