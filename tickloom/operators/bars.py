@@ -8,24 +8,26 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.ordering import trade_order
+
 
 def ohlcv(
     trades: DataFrame,
     duration: str,
     slide: str | None = None,
-    order_by: str | Column = "event_time",
+    order_by: str | Column | None = None,
     processed_at: Column | None = None,
 ) -> DataFrame:
     """Bars per symbol over tumbling (or, with ``slide``, sliding) event-time windows.
 
-    ``order_by`` decides open and close. Any fixed-width column (a time, a message
-    offset) keeps the aggregation hash-based with map-side combining, so a hot symbol
-    shuffles one row per window and task. A struct such as (event_time, seq) breaks
-    ties exactly, at the price of a sort-based aggregation.
+    ``order_by`` decides open and close: by default event time, ties broken by ``seq`` or,
+    without it, by price. Any fixed-width column (a time, a message offset) keeps the
+    aggregation hash-based with map-side combining, so a hot symbol shuffles one row per
+    window and task; a struct would turn it into a sort.
 
     ``vwap`` is the plain mean price; ``vwap_weighted`` weighs it by volume.
     """
-    order = F.col(order_by) if isinstance(order_by, str) else order_by
+    order = trade_order(trades) if order_by is None else F.col(order_by) if isinstance(order_by, str) else order_by
     stamp = processed_at if processed_at is not None else F.current_timestamp()
     if slide and not trades.isStreaming and _covers_whole_panes(duration, slide):
         merged = _merged_panes(trades, duration, slide, order)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.ordering import trade_order
 from tickloom.functions.rounding import percent_change, round_half_up
 from tickloom.functions.temporal import on_days
 
@@ -15,11 +16,11 @@ def daily_summary(
     trades: DataFrame,
     first: dt.date | None = None,
     last: dt.date | None = None,
-    order_by: str | Column = "event_time",
+    order_by: str | Column | None = None,
     computed_at: Column | None = None,
 ) -> DataFrame:
     """One row per symbol and day of first..last; ``order_by`` as for the bars."""
-    order = F.col(order_by) if isinstance(order_by, str) else order_by
+    order = trade_order(trades) if order_by is None else F.col(order_by) if isinstance(order_by, str) else order_by
     stamp = computed_at if computed_at is not None else F.current_timestamp()
     return (
         on_days(trades, "event_time", first, last)

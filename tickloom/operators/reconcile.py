@@ -66,12 +66,12 @@ def _issue(name: str, severity: Column, batch: Column | None = None, stream: Col
 def compare(batch: DataFrame, stream: DataFrame) -> DataFrame:
     """One row per symbol and day on either side, with the array of its issues (0 to 3).
 
-    Both sides are already grouped by the join keys, so the join moves no rows again.
+    Null symbols and days match each other, so that messages without them are compared too.
     """
     measures = ["trade_count", "total_volume", "min_price"]
     keys = ["symbol", "trade_date"]
     b = batch.select(*keys, F.lit(True).alias("in_batch"), *[F.col(m).alias(f"b_{m}") for m in measures])
-    s = stream.select(*keys, F.lit(True).alias("in_stream"), *[F.col(m).alias(f"s_{m}") for m in measures])
+    s = stream.select(*[F.col(k).alias(f"s_{k}") for k in keys], F.lit(True).alias("in_stream"), *[F.col(m).alias(f"s_{m}") for m in measures])
 
     def relative(measure: str) -> Column:
         base = F.greatest(F.col(f"b_{measure}"), F.lit(1))
@@ -100,7 +100,9 @@ def compare(batch: DataFrame, stream: DataFrame) -> DataFrame:
         .when(F.col("in_stream").isNull(), F.array(_issue("MISSING_FROM_STREAM", high)))
         .otherwise(checks)
     )
-    return b.join(s, keys, "full_outer").select(*keys, issues.alias("issues"))
+    same = F.col("symbol").eqNullSafe(F.col("s_symbol")) & F.col("trade_date").eqNullSafe(F.col("s_trade_date"))
+    either = [F.coalesce(key, f"s_{key}").alias(key) for key in keys]
+    return b.join(s, same, "full_outer").select(*either, issues.alias("issues"))
 
 
 def discrepancies(compared: DataFrame) -> DataFrame:

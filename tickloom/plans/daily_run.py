@@ -11,23 +11,31 @@ from tickloom.operators.daily import daily_summary
 from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
 from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min
 from tickloom.schemas import RAW_TRADES
-from tickloom.sinks.tables import append_log, replace_dates
+from tickloom.sinks.tables import append_log, drop_dates, replace_dates
 from tickloom.sources.warehouse import Warehouse
 
 
 def aggregate_day(warehouse: Warehouse, day: dt.date) -> dict:
-    """Replace one day of the daily summary; returns the day and its row count."""
+    """Replace one day of the daily summary; returns the day and its row count.
+
+    A day whose trades are gone loses its rows; a day without trades writes none.
+    """
+    path = warehouse.path("daily_summary_batch")
     summary = daily_summary(warehouse.read(RAW_TRADES), day, day)
-    replace_dates(summary, warehouse.path("daily_summary_batch"))
+    if summary.isEmpty():
+        drop_dates(warehouse.spark, path, [day])
+        return {"date": day.isoformat(), "rows": 0}
+    replace_dates(summary, path)
     written = warehouse.read("daily_summary_batch").filter(F.col("trade_date") == F.lit(day)).count()
     return {"date": day.isoformat(), "rows": written}
 
 
-def build_marts(warehouse: Warehouse) -> None:
+def build_marts(warehouse: Warehouse, through: dt.date | None = None) -> None:
+    """Load the marts; with ``through``, days after it, which may be partial, wait."""
     bars = stg_ohlcv_1min(warehouse.read("ohlcv_1min"))
     anomalies = stg_anomalies(warehouse.read("anomalies"))
     load_realtime(warehouse, bars)
-    load_daily(warehouse, bars, anomalies)
+    load_daily(warehouse, bars, anomalies, through=through)
     load_symbols(warehouse, warehouse.read(RAW_TRADES), anomalies)
 
 
@@ -51,9 +59,9 @@ def reconcile_day(warehouse: Warehouse, day: dt.date) -> None:
 
 def run_day(warehouse: Warehouse, day: dt.date | None = None) -> dict:
     """Everything for one day, by default yesterday."""
-    day = day or dt.date.today() - dt.timedelta(days=1)
+    day = day or dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
     result = aggregate_day(warehouse, day)
-    build_marts(warehouse)
+    build_marts(warehouse, through=day)
     check_marts(warehouse)
     reconcile_day(warehouse, day)
     return result

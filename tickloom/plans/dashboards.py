@@ -26,13 +26,10 @@ def volume_series(bars: DataFrame, symbol: str, as_of: dt.date) -> DataFrame:
     return _symbol_day(bars, symbol, as_of).select(F.col("window_start").alias("time"), "volume").orderBy("time")
 
 
-def _detected(since: dt.date, until: dt.date | None = None) -> Column:
+def _detected(since: dt.date, until: dt.date) -> Column:
     """Detection day as a range on the ISO text (UTC, so it sorts like the time), which
     reaches the scan, where a parsed date would not."""
-    found = F.col("detected_at") >= since.isoformat()
-    if until is not None:
-        found &= F.col("detected_at") < (until + dt.timedelta(days=1)).isoformat()
-    return found
+    return (F.col("detected_at") >= since.isoformat()) & (F.col("detected_at") < (until + dt.timedelta(days=1)).isoformat())
 
 
 def recent_anomalies(anomalies: DataFrame, as_of: dt.date, top: int = 50) -> DataFrame:
@@ -55,14 +52,14 @@ def anomaly_counts(anomalies: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def recent_zscores(anomalies: DataFrame, as_of: dt.date, days: int = 7) -> DataFrame:
-    since = as_of - dt.timedelta(days=days)
-    return anomalies.filter(_detected(since)).select("price_zscore")
+    """Scores of the ``days`` up to the end of ``as_of``."""
+    return anomalies.filter(_detected(as_of - dt.timedelta(days=days), as_of)).select("price_zscore")
 
 
 def recent_returns(daily_market: DataFrame, as_of: dt.date, days: int = 30) -> DataFrame:
     since = as_of - dt.timedelta(days=days)
     return (
-        daily_market.filter(F.col("trade_date") >= F.lit(since))
+        daily_market.filter(F.col("trade_date").between(F.lit(since), F.lit(as_of)))
         .select(F.col("trade_date").alias("time"), "symbol", F.col("daily_return_pct").alias("value"))
         .orderBy("time", "symbol")
     )

@@ -23,7 +23,7 @@ from tickloom.sources.warehouse import Warehouse
 
 
 def last_date(table: DataFrame | None, date_col: str = "trade_date") -> dt.date | None:
-    """The newest date of a table; a scan of partition values only."""
+    """The newest date of a table: one value per file reaches the aggregation, but every file is opened."""
     return None if table is None else table.agg(F.max(date_col)).first()[0]
 
 
@@ -80,15 +80,20 @@ def load_daily(
     anomalies: DataFrame,
     mode: str = "append_new",
     table: str = "fct_daily_market",
+    through: dt.date | None = None,
 ) -> None:
     """Add days to the daily market.
 
     ``append_new`` adds days later than the newest loaded one, which stays as it is even
-    if it was partial. ``reprocess_last`` rebuilds that day as well.
+    if it was partial; ``through`` keeps days after it out, so that none is written before
+    it is complete. ``reprocess_last`` rebuilds that day as well.
     """
     if mode not in ("append_new", "reprocess_last"):
         raise ValueError(f"unknown mode {mode}")
     since = last_date(warehouse.read_or_none(table))
+    if through is not None:
+        bars = bars.filter(F.col("trade_date") <= F.lit(through))
+        anomalies = anomalies.filter(F.col("anomaly_date") <= F.lit(through))
     if since is not None:
         later = (lambda c: c > F.lit(since)) if mode == "append_new" else (lambda c: c >= F.lit(since))
         bars = bars.filter(later(F.col("trade_date")))

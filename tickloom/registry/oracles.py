@@ -1,5 +1,8 @@
-"""DuckDB SQL for the registered queries, written independently of the Spark plans:
-row numbers instead of min_by, correlated subqueries, one window per symbol."""
+"""DuckDB SQL for the registered queries, written from their definitions.
+
+Classes come from tables of bounds, moving means from joins of numbered rows, both sides of a
+comparison from one grouped union; the Spark plans take other ways.
+"""
 
 from __future__ import annotations
 
@@ -45,10 +48,13 @@ LOSSY = """lossy AS (
 )"""
 
 
-def _bars(name: str, source: str, width: str, label: str) -> str:
+_TIED = "tied AS (SELECT * REPLACE (date_trunc('hour', event_time) AS event_time) FROM trades)"
+
+
+def _bars(name: str, source: str, width: str, label: str, order: str = "event_time") -> str:
     return f"""{name} AS (
-  SELECT symbol, arg_min(price, event_time) AS open, max(price) AS high, min(price) AS low,
-         arg_max(price, event_time) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count,
+  SELECT symbol, arg_min(price, {order}) AS open, max(price) AS high, min(price) AS low,
+         arg_max(price, {order}) AS close, CAST(sum(volume) AS BIGINT) AS volume, count(*) AS trade_count,
          avg(price) AS vwap, sum(price * volume) / nullif(sum(volume), 0) AS vwap_weighted,
          window_start, window_start + INTERVAL {width} AS window_end, '{label}' AS window_duration
   FROM (SELECT *, time_bucket(INTERVAL {width}, event_time) AS window_start FROM {source})
@@ -113,49 +119,55 @@ STAGED_FOUND = """staged_found AS (
   FROM found
 )"""
 
-SUMMARY = f"""summary AS (
-  SELECT symbol, anomaly_date, count(*) AS anomaly_count,
-         count(*) FILTER (severity = 'EXTREME') AS extreme_count,
-         count(*) FILTER (severity = 'CRITICAL') AS critical_count,
-         count(*) FILTER (severity = 'WARNING') AS warning_count,
-         count(*) FILTER (anomaly_type = 'PRICE') AS price_anomalies,
-         count(*) FILTER (anomaly_type = 'VOLUME') AS volume_anomalies,
-         count(*) FILTER (anomaly_type = 'PRICE_AND_VOLUME') AS combined_anomalies,
-         {_rounded("avg(abs(price_zscore))", 2)} AS avg_price_zscore,
-         {_rounded("max(abs(price_zscore))", 2)} AS max_price_zscore,
-         {_rounded("avg(abs(volume_zscore))", 2)} AS avg_volume_zscore
-  FROM staged_found GROUP BY symbol, anomaly_date
+SUMMARY = f"""counted AS (
+  SELECT symbol, anomaly_date, histogram(severity) AS by_severity, histogram(anomaly_type) AS by_type,
+         list(abs(price_zscore)) AS price_scores, list(abs(volume_zscore)) AS volume_scores
+  FROM staged_found GROUP BY ALL
+), summary AS (
+  SELECT symbol, anomaly_date, CAST(len(price_scores) AS BIGINT) AS anomaly_count,
+         {", ".join(f"CAST(coalesce(by_severity['{name}'], 0) AS BIGINT) AS {name.lower()}_count" for name in ("EXTREME", "CRITICAL", "WARNING"))},
+         {", ".join(f"CAST(coalesce(by_type['{kind}'], 0) AS BIGINT) AS {name}_anomalies" for kind, name in (("PRICE", "price"), ("VOLUME", "volume"), ("PRICE_AND_VOLUME", "combined")))},
+         {_rounded("list_avg(price_scores)", 2)} AS avg_price_zscore,
+         {_rounded("list_max(price_scores)", 2)} AS max_price_zscore,
+         {_rounded("list_avg(volume_scores)", 2)} AS avg_volume_zscore
+  FROM counted
 )"""
 
 
 def _daily_stats(source: str) -> str:
-    return f"""daily AS (
+    return f"""last_hours AS (
+  SELECT symbol, trade_date, max(trade_hour) AS trade_hour FROM {source} GROUP BY ALL
+), closing AS (
+  SELECT symbol, trade_date, max(close) AS day_close FROM {source} JOIN last_hours USING (symbol, trade_date, trade_hour) GROUP BY ALL
+), spans AS (
   SELECT symbol, trade_date, min(open) AS day_open, max(high) AS day_high, min(low) AS day_low,
-         max(CASE WHEN trade_hour = (SELECT max(b.trade_hour) FROM {source} b
-                                     WHERE b.symbol = a.symbol AND b.trade_date = a.trade_date)
-             THEN close END) AS day_close,
          CAST(sum(volume) AS BIGINT) AS day_volume, CAST(sum(trade_count) AS BIGINT) AS day_trade_count,
-         avg(vwap) AS day_vwap, stddev_samp(close) AS intraday_volatility, max(high) - min(low) AS day_range,
-         count(*) AS bar_count, avg(bar_return_pct) AS avg_bar_return,
-         arg_min(open, window_start) AS day_open_first, arg_max(close, window_start) AS day_close_last
-  FROM {source} a GROUP BY symbol, trade_date
+         avg(vwap) AS day_vwap, stddev_samp(close) AS intraday_volatility, count(*) AS bar_count,
+         avg(bar_return_pct) AS avg_bar_return, arg_min(open, window_start) AS day_open_first,
+         arg_max(close, window_start) AS day_close_last
+  FROM {source} GROUP BY ALL
 ), daily_stats AS (
-  SELECT *, {_rounded("(day_close - day_open) / nullif(day_open, 0) * 100", 4)} AS daily_return_pct,
-         {_rounded("day_range / nullif(day_open, 0) * 100", 4)} AS range_pct
-  FROM daily
+  SELECT *, day_high - day_low AS day_range,
+         {_rounded("(day_close - day_open) / nullif(day_open, 0) * 100", 4)} AS daily_return_pct,
+         {_rounded("(day_high - day_low) / nullif(day_open, 0) * 100", 4)} AS range_pct
+  FROM spans JOIN closing USING (symbol, trade_date)
 )"""
 
 
-MARKET = """market AS (
-  SELECT d.symbol, d.trade_date, day_open, day_high, day_low, day_close, day_volume, day_trade_count, day_vwap,
+# the class of a value is that of the largest bound below it
+MARKET = """trends(above, trend_direction) AS (
+  VALUES (2.0::DOUBLE, 'strong_up'), (0.0, 'up'), (-2.0, 'down'), ('-infinity'::DOUBLE, 'strong_down')
+), regimes(above, volatility_regime) AS (
+  VALUES (0.02::DOUBLE, 'high'), (0.01, 'medium')
+), market AS (
+  SELECT symbol, trade_date, day_open, day_high, day_low, day_close, day_volume, day_trade_count, day_vwap,
          daily_return_pct, intraday_volatility, range_pct, bar_count,
          coalesce(anomaly_count, 0) AS anomaly_count, coalesce(extreme_count, 0) AS extreme_anomalies,
          coalesce(critical_count, 0) AS critical_anomalies, coalesce(max_price_zscore, 0) AS max_zscore,
-         CASE WHEN daily_return_pct > 2 THEN 'strong_up' WHEN daily_return_pct > 0 THEN 'up'
-              WHEN daily_return_pct > -2 THEN 'down' ELSE 'strong_down' END AS trend_direction,
-         CASE WHEN intraday_volatility > day_vwap * 0.02 THEN 'high'
-              WHEN intraday_volatility > day_vwap * 0.01 THEN 'medium' ELSE 'low' END AS volatility_regime
-  FROM daily_stats d LEFT JOIN summary s ON d.symbol = s.symbol AND d.trade_date = s.anomaly_date
+         coalesce((SELECT arg_max(t.trend_direction, t.above) FROM trends t WHERE daily_return_pct > t.above), 'strong_down') AS trend_direction,
+         coalesce((SELECT arg_max(r.volatility_regime, r.above) FROM regimes r WHERE intraday_volatility > day_vwap * r.above), 'low')
+           AS volatility_regime
+  FROM daily_stats LEFT JOIN (SELECT * RENAME (anomaly_date AS trade_date) FROM summary) USING (symbol, trade_date)
 )"""
 
 _RAISED = "raised AS (SELECT * REPLACE (price + 3000 AS price) FROM trades)"
@@ -166,92 +178,95 @@ DAILY_MARKET = [
 
 
 def _signals(source: str = "staged") -> str:
-    return f"""averaged AS (
-  SELECT *, avg(close) OVER (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS s20,
-         avg(close) OVER (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS s50,
-         avg(volume) OVER (PARTITION BY symbol ORDER BY window_start ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS v10,
-         lag(close) OVER (PARTITION BY symbol ORDER BY window_start) AS prev_close,
-         row_number() OVER (PARTITION BY symbol, trade_date ORDER BY window_start) AS bar_sequence
-  FROM {source}
+    """Moving means from lists of the closes and volumes of a symbol, cut at each bar's number."""
+    tail = lambda values, n: f"list_avg({values}[greatest(1, place - {n - 1}):place])"
+    return f"""series AS (
+  SELECT symbol, list(struct_pack(bar := b, place := place) ORDER BY place) AS bars, list(b.close ORDER BY place) AS closes,
+         list(b.volume ORDER BY place) AS volumes
+  FROM (SELECT symbol, b, rank() OVER (PARTITION BY symbol ORDER BY window_start) AS place FROM {source} AS b)
+  GROUP BY symbol
+), placed AS (
+  SELECT unnest(bars, recursive := true), closes, volumes FROM series
+), averaged AS (
+  SELECT *, {tail("closes", 20)} AS s20, {tail("closes", 50)} AS s50, {tail("volumes", 10)} AS v10, closes[place - 1] AS prev_close,
+         place - min(place) OVER (PARTITION BY symbol, trade_date) + 1 AS bar_sequence
+  FROM placed
 ), realtime AS (
   SELECT symbol, trade_date, trade_hour, window_start, window_end, open, high, low, close, volume, trade_count, vwap,
          bar_return_pct, price_range, {_rounded("s20", 4)} AS sma_20, {_rounded("s50", 4)} AS sma_50,
          {_rounded("v10", 0)} AS volume_sma_10, prev_close,
-         CASE WHEN close > s20 AND s20 > s50 THEN 'bullish' WHEN close < s20 AND s20 < s50 THEN 'bearish'
-              ELSE 'neutral' END AS trend_signal,
-         CASE WHEN volume > v10 * 2 THEN 'high' WHEN volume > v10 * 1.5 THEN 'elevated' ELSE 'normal' END AS volume_signal,
+         ['bearish', 'neutral', 'bullish'][CAST((sign(close - s20) + sign(s20 - s50)) / 2 AS INTEGER) + 2] AS trend_signal,
+         ['normal', 'elevated', 'high'][1 + CAST(volume > v10 * 1.5 AS INTEGER) + CAST(volume > v10 * 2 AS INTEGER)] AS volume_signal,
          CAST(bar_sequence AS INTEGER) AS bar_sequence
   FROM averaged
 )"""
 
 
 def _staged_trades(source: str) -> str:
-    return f"""latest AS (
-  SELECT symbol, price, volume, event_time AS trade_timestamp, exchange, CAST(event_time AS DATE) AS trade_date,
-         CAST(extract(hour FROM event_time) AS INTEGER) AS trade_hour,
-         CASE WHEN extract(hour FROM event_time) BETWEEN 9 AND 10 THEN 'market_open'
-              WHEN extract(hour FROM event_time) BETWEEN 11 AND 14 THEN 'midday'
-              WHEN extract(hour FROM event_time) BETWEEN 15 AND 16 THEN 'market_close'
-              ELSE 'extended_hours' END AS trading_session, loaded_at
-  FROM (SELECT *, row_number() OVER (PARTITION BY symbol, event_time ORDER BY loaded_at DESC) AS rn FROM {source})
-  WHERE rn = 1
+    return f"""sessions(first_hour, last_hour, trading_session) AS (
+  VALUES (9, 10, 'market_open'), (11, 14, 'midday'), (15, 16, 'market_close')
+), newest AS (
+  SELECT symbol, event_time AS trade_timestamp, max(loaded_at) AS loaded_at FROM {source} GROUP BY ALL
+), latest AS (
+  SELECT symbol, price, volume, trade_timestamp, exchange, CAST(trade_timestamp AS DATE) AS trade_date,
+         CAST(hour(trade_timestamp) AS INTEGER) AS trade_hour, coalesce(trading_session, 'extended_hours') AS trading_session, loaded_at
+  FROM newest JOIN (SELECT * RENAME (event_time AS trade_timestamp) FROM {source}) USING (symbol, trade_timestamp, loaded_at)
+  LEFT JOIN sessions ON hour(trade_timestamp) BETWEEN first_hour AND last_hour
 )"""
 
 
-SYMBOLS = f"""per_symbol AS (
-  SELECT symbol, min(trade_date) AS first_seen, max(trade_date) AS last_seen, count(DISTINCT trade_date) AS active_days,
-         avg(volume) AS mean_volume, avg(price) AS mean_price
-  FROM latest GROUP BY symbol
-), per_day AS (
-  SELECT symbol, trade_date, sum(volume) AS volume FROM latest GROUP BY symbol, trade_date
-), day_means AS (
-  SELECT symbol, avg(volume) AS mean_day_volume FROM per_day GROUP BY symbol
+SYMBOLS = f"""per_day AS (
+  SELECT symbol, trade_date, sum(volume) AS volume, sum(price) AS price, count(*) AS trades FROM latest GROUP BY ALL
+), per_symbol AS (
+  SELECT symbol, min(trade_date) AS first_seen, max(trade_date) AS last_seen, count(*) AS active_days,
+         sum(volume) / sum(trades) AS mean_volume, sum(price) / sum(trades) AS mean_price, avg(volume) AS mean_day_volume
+  FROM per_day GROUP BY symbol
 ), flagged AS (
-  SELECT symbol, count(*) AS total_anomalies, count(*) FILTER (severity = 'EXTREME') AS extreme_count
-  FROM staged_found GROUP BY symbol
+  SELECT symbol, histogram(severity) AS by_severity, count(*) AS total_anomalies FROM staged_found GROUP BY symbol
+), tiers(above, volume_tier) AS (
+  VALUES (10000000, 'mega_cap'), (1000000, 'large_cap'), (100000, 'mid_cap'), (-1, 'small_cap')
 ), symbols AS (
-  SELECT t.symbol, first_seen, last_seen, active_days, {_rounded("mean_volume", 0)} AS avg_daily_volume,
+  SELECT symbol, first_seen, last_seen, active_days, {_rounded("mean_volume", 0)} AS avg_daily_volume,
          {_rounded("mean_price", 2)} AS avg_price, coalesce(total_anomalies, 0) AS total_anomalies,
-         coalesce(extreme_count, 0) AS extreme_anomaly_count,
-         CASE WHEN mean_volume > 10000000 THEN 'mega_cap' WHEN mean_volume > 1000000 THEN 'large_cap'
-              WHEN mean_volume > 100000 THEN 'mid_cap' ELSE 'small_cap' END AS volume_tier,
+         CAST(coalesce(by_severity['EXTREME'], 0) AS BIGINT) AS extreme_anomaly_count,
+         (SELECT arg_max(t.volume_tier, t.above) FROM tiers t WHERE mean_volume > t.above) AS volume_tier,
          {_rounded("mean_day_volume", 0)} AS true_avg_daily_volume
-  FROM per_symbol t JOIN day_means m ON t.symbol = m.symbol LEFT JOIN flagged f ON t.symbol = f.symbol
+  FROM per_symbol LEFT JOIN flagged USING (symbol)
 )"""
 
-DAY_SUMMARY = f"""ranked AS (
-  SELECT *, CAST(event_time AS DATE) AS trade_date,
-         row_number() OVER (PARTITION BY symbol, CAST(event_time AS DATE) ORDER BY event_time) AS up,
-         row_number() OVER (PARTITION BY symbol, CAST(event_time AS DATE) ORDER BY event_time DESC) AS down
-  FROM trades
+_ORDER = "(epoch_us(event_time)::HUGEINT * 1000000000000000000 + seq)"
+
+
+def _day_summary(source: str = "trades") -> str:
+    return f"""dated AS (SELECT *, event_time::DATE AS trade_date, {_ORDER} AS place FROM {source}
+), edges AS (
+  SELECT symbol, trade_date, arg_min(price, place) AS open_price, arg_max(price, place) AS close_price FROM dated GROUP BY ALL
+), figures AS (
+  SELECT symbol, trade_date, max(price) AS high_price, min(price) AS low_price, CAST(sum(volume) AS BIGINT) AS total_volume,
+         count(*) AS trade_count, {_rounded("avg(price)", 4)} AS avg_price, {_rounded("stddev_samp(price)", 4)} AS price_stddev,
+         min(event_time) AS market_open_time, max(event_time) AS market_close_time
+  FROM dated GROUP BY ALL
 ), day_summary AS (
-  SELECT *, {_rounded("(close_price - open_price) / nullif(open_price, 0) * 100", 4)} AS daily_return_pct
-  FROM (
-    SELECT symbol, trade_date, max(CASE WHEN up = 1 THEN price END) AS open_price, max(price) AS high_price,
-           min(price) AS low_price, max(CASE WHEN down = 1 THEN price END) AS close_price,
-           CAST(sum(volume) AS BIGINT) AS total_volume, count(*) AS trade_count,
-           {_rounded("avg(price)", 4)} AS avg_price, {_rounded("stddev_samp(price)", 4)} AS price_stddev,
-           min(event_time) AS market_open_time, max(event_time) AS market_close_time
-    FROM ranked GROUP BY symbol, trade_date
-  )
+  SELECT *, {_rounded("(close_price / nullif(open_price, 0) - 1) * 100", 4)} AS daily_return_pct
+  FROM edges JOIN figures USING (symbol, trade_date)
 )"""
 
 
-def _batch_side(source: str) -> str:
-    return f"""batch AS (
-  SELECT symbol, CAST(event_time AS DATE) AS trade_date, count(*) AS trade_count,
-         {_rounded("avg(price)", 4)} AS avg_price, min(price) AS min_price, max(price) AS max_price,
-         CAST(sum(volume) AS BIGINT) AS total_volume, min(event_time) AS first_trade, max(event_time) AS last_trade
-  FROM {source} GROUP BY 1, 2
+def _side(name: str, source: str, at: str, until: str, mean: str, low: str, high: str, n: str, ends: tuple[str, str]) -> str:
+    """One row per symbol and day: the shape both sides of the comparison share."""
+    return f"""{name} AS (
+  SELECT symbol, {at}::DATE AS trade_date, CAST(sum({n}) AS BIGINT) AS trade_count, {_rounded(f"avg({mean})", 4)} AS avg_price,
+         min({low}) AS min_price, max({high}) AS max_price, CAST(sum(volume) AS BIGINT) AS total_volume,
+         min({at}) AS {ends[0]}, max({until}) AS {ends[1]}
+  FROM {source} GROUP BY ALL
 )"""
 
 
-STREAM_SIDE = f"""stream AS (
-  SELECT symbol, CAST(window_start AS DATE) AS trade_date, CAST(sum(trade_count) AS BIGINT) AS trade_count,
-         {_rounded("avg(close)", 4)} AS avg_price, min(low) AS min_price, max(high) AS max_price,
-         CAST(sum(volume) AS BIGINT) AS total_volume, min(window_start) AS first_window, max(window_end) AS last_window
-  FROM bars GROUP BY 1, 2
-)"""
+def _batch_side(source: str) -> str:
+    return _side("batch", source, "event_time", "event_time", "price", "price", "price", "1", ("first_trade", "last_trade"))
+
+
+STREAM_SIDE = _side("stream", "bars", "window_start", "window_end", "close", "low", "high", "trade_count", ("first_window", "last_window"))
 
 
 def _mismatch(issue: str, measure: str, severity: str) -> str:
@@ -263,11 +278,11 @@ def _mismatch(issue: str, measure: str, severity: str) -> str:
 
 
 ISSUES = f"""both_sides AS (
-  SELECT coalesce(b.symbol, s.symbol) AS symbol, coalesce(b.trade_date, s.trade_date) AS trade_date,
-         b.symbol IS NOT NULL AS in_batch, s.symbol IS NOT NULL AS in_stream,
-         b.trade_count AS b_count, s.trade_count AS s_count, b.total_volume AS b_volume, s.total_volume AS s_volume,
-         b.min_price AS b_min, s.min_price AS s_min
-  FROM batch b FULL OUTER JOIN stream s ON b.symbol = s.symbol AND b.trade_date = s.trade_date
+  SELECT symbol, trade_date, bool_or(side = 'b') AS in_batch, bool_or(side = 's') AS in_stream,
+         {", ".join(f"max({m}) FILTER (side = '{x}') AS {x}_{short}" for m, short in (("trade_count", "count"), ("total_volume", "volume"), ("min_price", "min")) for x in "bs")}
+  FROM (SELECT 'b' AS side, symbol, trade_date, trade_count, total_volume, min_price FROM batch
+        UNION ALL SELECT 's', symbol, trade_date, trade_count, total_volume, min_price FROM stream)
+  GROUP BY symbol, trade_date
 ), issues AS (
   SELECT symbol, trade_date, CASE WHEN in_batch THEN 'MISSING_FROM_STREAM' ELSE 'MISSING_FROM_BATCH' END AS issue,
          'HIGH' AS severity, CAST(NULL AS DOUBLE) AS batch_value, CAST(NULL AS DOUBLE) AS stream_value,
@@ -419,7 +434,7 @@ def all_oracles() -> dict[str, str]:
     realtime = _with([TRADES, MINUTE_BARS, STAGED, _signals()], _tidy("SELECT * FROM realtime", *_FACT_DOUBLES))
     digits = {"price_mean": 4, "price_std": 4, "price_zscore": 4, "volume_mean": 2, "volume_std": 2, "volume_zscore": 4}
     scored_columns = ", ".join(f"{_rounded(name, n)} AS {name}" for name, n in digits.items())
-    day = "WHERE symbol = 'view' AND CAST(window_start AS DATE) = DATE '2024-01-15' ORDER BY window_start"
+    day = "WHERE symbol = 'view' AND window_start >= TIMESTAMP '2024-01-15' AND window_start < TIMESTAMP '2024-01-16'"
     return {
         "trades_decoded": _with(
             [TRADES],
@@ -455,6 +470,10 @@ def all_oracles() -> dict[str, str]:
         "ohlcv_1min": _bar_query("1 MINUTE", "1 minute"),
         "ohlcv_5min": _bar_query("5 MINUTES", "5 minutes"),
         "ohlcv_1hr": _bar_query("1 HOUR", "1 hour"),
+        "ohlcv_tied_times": _with(
+            [TRADES, _TIED, _bars("bars", "tied", "4 HOURS", "4 hours", _ORDER)], _tidy("SELECT * FROM bars", *_BAR_DOUBLES)
+        ),
+        "daily_summary_tied": _with([TRADES, _TIED, _day_summary("tied")], "SELECT * FROM day_summary"),
         "ohlcv_sliding_5min_1min": _with(
             [
                 TRADES,
@@ -475,9 +494,9 @@ def all_oracles() -> dict[str, str]:
         "anomalies_zscore_halo": _with(ANOMALIES, "SELECT * FROM found"),
         "anomalies_low_threshold": _with([TRADES, _scored(), _found(1.5)], "SELECT * FROM found"),
         "alert_payloads": _alerts(),
-        "daily_summary": _with([TRADES, DAY_SUMMARY], "SELECT * FROM day_summary"),
+        "daily_summary": _with([TRADES, _day_summary()], "SELECT * FROM day_summary"),
         "daily_summary_day": _with(
-            [TRADES, DAY_SUMMARY], "SELECT * FROM day_summary WHERE trade_date = DATE '2024-01-15'"
+            [TRADES, _day_summary()], "SELECT * FROM day_summary WHERE trade_date = DATE '2024-01-15'"
         ),
         "reconcile_batch_side": _with([TRADES, _batch_side("trades")], "SELECT * FROM batch"),
         "reconcile_batch_side_many_symbols": _with(
@@ -491,6 +510,7 @@ def all_oracles() -> dict[str, str]:
         "reconcile_stream_side": _with([TRADES, MINUTE_BARS, STREAM_SIDE], "SELECT * FROM stream"),
         "reconcile_discrepancies": _with(RECONCILED, "SELECT * FROM issues"),
         "reconcile_report": _with(RECONCILED, "SELECT * FROM reports"),
+        "reconcile_details": _with(RECONCILED, "SELECT * RENAME (trade_date AS reconciliation_date) FROM issues"),
         "reconcile_alerts": _with(
             RECONCILED,
             """SELECT reconciliation_date, ':warning: *Stock Pipeline Reconciliation Failed*' || chr(10) || 'Date: '
@@ -523,12 +543,12 @@ def all_oracles() -> dict[str, str]:
                GROUP BY symbol ORDER BY 2 DESC, 1""",
         ),
         "dash_zscores_7d": _with(
-            ANOMALIES, "SELECT price_zscore FROM found WHERE CAST(left(detected_at, 10) AS DATE) >= DATE '2024-01-08'"
+            ANOMALIES, "SELECT price_zscore FROM found WHERE left(detected_at, 10) BETWEEN '2024-01-08' AND '2024-01-15'"
         ),
         "dash_returns_30d": _with(
             DAILY_MARKET,
             """SELECT trade_date AS time, symbol, daily_return_pct AS value FROM market
-               WHERE trade_date >= DATE '2023-12-16' ORDER BY trade_date, symbol""",
+               WHERE trade_date BETWEEN DATE '2023-12-16' AND DATE '2024-01-15' ORDER BY trade_date, symbol""",
         ),
         "dash_symbols": _intraday(
             "SELECT DISTINCT symbol FROM bars WHERE CAST(window_start AS DATE) = DATE '2024-01-15' ORDER BY symbol"

@@ -17,7 +17,7 @@ from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
 from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min, stg_trades
 from tickloom.schemas import BAR_WINDOWS
-from tickloom.session import fit_local, pin_utc, run_dir
+from tickloom.session import pin_utc, run_dir, stream_session
 from tickloom.sinks.streams import AVAILABLE_NOW, to_message_files, to_table
 from tickloom.sources import events, intraday, messages, ticks
 from tickloom.sources.warehouse import Warehouse
@@ -30,6 +30,7 @@ SYMBOL = "view"
 OFFSET = 3000.0
 FIRST_LOAD_ENDS = "2024-01-15 12:00:00"
 LANDINGS = ["2024-01-11", "2024-01-21"]
+STREAM_PARTITIONS = 8
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -40,7 +41,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
     def register(build: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return _comparable(build(fit_local(pin_utc(spark)), sf_dir))
+            return _comparable(build(pin_utc(spark), sf_dir))
 
         _queries[name] = run
         return build
@@ -162,6 +163,21 @@ def _ohlcv_sliding_5min_1min(spark, sf_dir):
     return ohlcv(_trades(spark, sf_dir), "5 minutes", "1 minute")
 
 
+def _tied(spark, sf_dir):
+    """Trades whose times are cut to the hour, so that only the sequence tells them apart."""
+    return _trades(spark, sf_dir).withColumn("event_time", F.date_trunc("hour", "event_time"))
+
+
+@query("ohlcv_tied_times")
+def _ohlcv_tied_times(spark, sf_dir):
+    return ohlcv(_tied(spark, sf_dir), "4 hours")
+
+
+@query("daily_summary_tied")
+def _daily_summary_tied(spark, sf_dir):
+    return daily_summary(_tied(spark, sf_dir))
+
+
 # --- anomalies -----------------------------------------------------------------------------
 
 
@@ -240,6 +256,14 @@ def _reconcile_report(spark, sf_dir):
     return reconcile.report(_compared(spark, sf_dir)).drop("details")
 
 
+@query("reconcile_details")
+def _reconcile_details(spark, sf_dir):
+    """What the JSON of the reports lists."""
+    kind = "array<struct<symbol:string,issue:string,severity:string,batch_value:double,stream_value:double,diff_pct:double>>"
+    listed = F.from_json("details", kind)
+    return reconcile.report(_compared(spark, sf_dir)).select("reconciliation_date", F.inline(listed))
+
+
 @query("reconcile_alerts")
 def _reconcile_alerts(spark, sf_dir):
     return reconcile.failure_text(reconcile.report(_compared(spark, sf_dir)))
@@ -412,13 +436,14 @@ def _incremental_symbols(spark, sf_dir):
 def _stream_in_landings(spark, sf_dir, folder, start) -> None:
     """Land all trades as message files in three steps of event time, running the query that
     ``start`` makes after each, so it resumes twice from its checkpoint."""
-    trades = _trades(spark, sf_dir)
+    session = stream_session(spark, STREAM_PARTITIONS)
+    trades = _trades(session, sf_dir)
     edges = [None, *LANDINGS, None]
     for low, high in zip(edges, edges[1:]):
         part = trades if low is None else trades.filter(F.col("event_time") >= F.lit(low).cast("timestamp"))
         part = part if high is None else part.filter(F.col("event_time") < F.lit(high).cast("timestamp"))
         events.trade_messages(part).select("value").write.mode("append").text(f"{folder}/messages")
-        start(messages.decode_trades(messages.file_messages(spark, f"{folder}/messages"))).awaitTermination()
+        start(messages.decode_trades(messages.file_messages(session, f"{folder}/messages"))).awaitTermination()
 
 
 @query("stream_ohlcv_1hr")

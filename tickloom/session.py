@@ -18,6 +18,7 @@ SESSION_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+
 def build_session(app_name: str = "tickloom", master: str | None = None, **settings) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -33,16 +34,15 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit_local(spark: SparkSession) -> SparkSession:
-    """On a local master, no more shuffle partitions than threads.
+def stream_session(spark: SparkSession, partitions: int) -> SparkSession:
+    """A session of its own for streams, with ``partitions`` state stores per query.
 
-    A stream keeps one state store per partition, and the default of 200 stores takes
-    minutes on one machine. A cluster keeps its own setting.
+    A stream keeps its partition count for life, so it is chosen here and not taken from a
+    default meant for batch queries; the caller's settings stay as they are.
     """
-    threads = spark.sparkContext.defaultParallelism
-    if spark.sparkContext.master.startswith("local") and threads < int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", threads)
-    return spark
+    session = pin_utc(spark.newSession())
+    session.conf.set("spark.sql.shuffle.partitions", partitions)
+    return session
 
 
 def shared_dir(spark: SparkSession) -> str:

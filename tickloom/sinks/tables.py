@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _laid_out(df: DataFrame, date_col: str, cluster: list[str]) -> DataFrame:
@@ -25,6 +28,13 @@ def replace_dates(df: DataFrame, path: str, date_col: str = "trade_date", cluste
     )
 
 
+def drop_dates(spark: SparkSession, path: str, dates: Iterable[dt.date], date_col: str = "trade_date") -> None:
+    """Remove whole dates, which a dynamic overwrite leaves where it has no rows for them."""
+    for date in dates:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={date.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_dates(df: DataFrame, path: str, date_col: str = "trade_date", cluster: tuple[str, ...] = ("symbol",)) -> None:
     _laid_out(df, date_col, list(cluster)).write.mode("append").partitionBy(date_col).parquet(path)
 

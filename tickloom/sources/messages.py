@@ -76,8 +76,3 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
 def usable_trades(trades: DataFrame) -> DataFrame:
     """Trades that carry every field the scoring and the bars need."""
     return trades.dropna(subset=["symbol", "price", "volume", "event_time"])
-
-
-def by_symbol(trades: DataFrame, partitions: int) -> DataFrame:
-    """Key-partition by symbol, as the message topic is (all rows of a symbol together)."""
-    return trades.repartition(partitions, "symbol")

@@ -23,8 +23,15 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        reader = self.spark.read
-        return (reader.schema(_SCHEMAS[table]) if table in _SCHEMAS else reader).parquet(self.path(table))
+        """The table; before its first load it is empty, if its schema is declared."""
+        if table not in _SCHEMAS:
+            return self.spark.read.parquet(self.path(table))
+        try:
+            return self.spark.read.schema(_SCHEMAS[table]).parquet(self.path(table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _SCHEMAS[table])
 
     def read_or_none(self, table: str) -> DataFrame | None:
         """The table, or None before its first load."""

@@ -20,7 +20,10 @@ def bar_stream(trades: DataFrame, duration: str) -> DataFrame:
 
 
 def raw_trades(trades: DataFrame) -> DataFrame:
-    """Every trade with its load time, late and undated ones included."""
+    """Every trade with its load time, late and undated ones included.
+
+    The message's ``seq``, where it has one, is kept: it settles equal times in batch.
+    """
     return trades.select(
         "symbol",
         "price",
@@ -29,6 +32,7 @@ def raw_trades(trades: DataFrame) -> DataFrame:
         "exchange",
         F.current_timestamp().alias("loaded_at"),
         F.to_date("event_time").alias("trade_date"),
+        *[F.col(name) for name in ("seq",) if name in trades.columns],
     )
 
 
