@@ -9,9 +9,12 @@ Jaccard similarity of their multisets. Coordinates no dart has reached are fille
 the limit. Bands of coordinates are buckets.
 
 Links are found by stars, never by all pairs of a bucket: first every member is compared with
-the smallest member of its buckets; then, as long as new links turn up, members are compared
-with the smallest member of each other component that shares a bucket. Comparisons are exact
-(shingles of both texts) and spread by bytes of text, so no group is ever in one task.
+the smallest member of its buckets, then with the smallest and the largest member of each
+bucket that is not in its component yet; in buckets of up to ``SMALL`` members with each
+other one. The comparisons thus grow with the number of documents, however alike they are. Two
+similar texts share some eight of the 26 buckets, so that a pair missed in a large bucket, where
+both lie between the ends, is met in others, or joined through a third text. Comparisons are
+exact (shingles of both texts) and spread by bytes of text, so no group is ever in one task.
 """
 
 from __future__ import annotations
@@ -35,7 +38,9 @@ DARTS = COORDINATES * (np.log(COORDINATES) + 2)
 #: Node numbers of documents without an id start here; real ids lie below.
 NO_ID = 1 << 62
 #: Text of members that one task compares with a leader.
-VERIFY_BYTES = 4_000_000
+VERIFY_BYTES = 1_000_000
+#: In buckets up to this size every member is compared with every other.
+SMALL = 4
 
 SIGNATURE_SCHEMA = "doc_id long, text_key long, fp1 long, fp2 long, n_bytes long, bands array<long>"
 
@@ -209,8 +214,9 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     Rows are in one class if a chain of pairs with a weighted Jaccard similarity of ``least``
     links them; class_id is the smallest id in the class. Texts with the same words are
-    copies. Rows without words are alone; rows that share an id are one node; a null id is
-    never the smallest, and class_id is null in a class without ids; no rows give no rows.
+    copies. Rows without words are alone; rows that share an id are judged by their texts,
+    but texts whose smallest id is the same are one node; a null id is never the smallest,
+    and class_id is null in a class without ids; no rows give no rows.
     ``class_node`` names the class also where class_id is null.
     """
     signed = materialise(signatures(docs), "signatures")
@@ -222,7 +228,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     buckets = reps.select("node", "n_bytes", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    shared = materialise(shared.select("bucket", "leader"), "buckets")
+    shared = materialise(shared.select("bucket", "leader", "n"), "buckets")
     members = materialise(buckets.join(shared, "bucket"), "members")
     nodes = members.select("node").distinct()
     chosen = reps.join(nodes, "node").select("node", F.col("doc_id").alias("rep_doc"), F.col("text_key").alias("rep_key"))
@@ -233,24 +239,21 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     pairs = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("leader"), F.max("n_bytes").alias("n_bytes"))
     tried = materialise(pairs.select("leader", "node", "n_bytes"), "pairs")
     links = materialise(verified(tried, texts, least), "links")
-    while True:
-        parts = components(links)
-        placed = members.join(parts, "node", "left").select("bucket", "node", "n_bytes", F.coalesce("component", "node").alias("component"))
-        heads = placed.groupBy("bucket", "component").agg(F.min("node").alias("head"))
-        mixed = heads.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        open_buckets = materialise(mixed.select("bucket"), "open-buckets")
-        heads = materialise(heads.join(open_buckets, "bucket").select("bucket", F.col("component").alias("other"), "head"), "heads")
-        met = placed.join(heads, "bucket").where("component <> other").select(
-            F.least("node", "head").alias("leader"), F.greatest("node", "head").alias("node"), "n_bytes"
-        )
-        fresh = met.groupBy("leader", "node").agg(F.max("n_bytes").alias("n_bytes")).join(tried, ["leader", "node"], "left_anti")
-        fresh = materialise(fresh, "pairs")
-        if fresh.isEmpty():
-            break
-        more = materialise(verified(fresh, texts, least), "links")
-        if more.isEmpty():
-            break
-        tried, links = tried.unionByName(fresh), links.unionByName(more)
+    parts = components(links)
+    placed = materialise(
+        members.join(parts, "node", "left").select("bucket", "n", "node", "n_bytes", F.coalesce("component", "node").alias("component")), "placed"
+    )
+    end = F.struct("node", "component")
+    ends = placed.where(F.col("n") > SMALL).groupBy("bucket").agg(F.array(F.min(end), F.max(end)).alias("ends"))
+    heads = ends.select("bucket", F.explode("ends").alias("end")).select("bucket", "end.*")
+    heads = heads.unionByName(placed.where(F.col("n") <= SMALL).select("bucket", "node", "component"))
+    heads = materialise(heads.select("bucket", F.col("node").alias("head"), F.col("component").alias("other")), "heads")
+    met = placed.join(heads, "bucket").where("component <> other")
+    met = met.groupBy(F.least("node", "head").alias("leader"), F.greatest("node", "head").alias("node")).agg(F.max("n_bytes").alias("n_bytes"))
+    fresh = materialise(met.join(tried.select("leader", "node"), ["leader", "node"], "left_anti"), "pairs")
+    more = materialise(verified(fresh, texts, least), "links")
+    if not more.isEmpty():
+        parts = components(links.unionByName(more))
 
     to_node = reps.select("fp1", "fp2", "node")
     classed = (
