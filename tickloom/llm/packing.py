@@ -237,7 +237,7 @@ def _cutter(path: str, end_id: int, capacity: int, with_ids: bool):
         tokenizer = encoder(path)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for some in batches_of_bytes(batch, "text", 2_000_000):
+            for some in batches_of_bytes(batch, "text", 4_000_000):
                 ids, counts = tokenizer.encode(some.column("text"))
                 rows: list[tuple] = []
                 for name, run in zip(some.column("doc_id").to_pylist(), token_runs(ids, counts, end_id)):

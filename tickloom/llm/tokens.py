@@ -22,7 +22,8 @@ CACHE_WORDS = 500_000
 #: A word that starts and ends with printable ASCII, a letter, a digit or "_".
 PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
 #: Letters, then punctuation: two units of any of these tokenizers, which the model takes as they are.
-TWO_UNITS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+MARKS = ".,;:!?"
+TWO_UNITS = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+[{MARKS}]*")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,47 +51,67 @@ class WordEncoder:
 
     def _clear(self) -> None:
         self.places: tuple[dict[str, int], dict[str, int]] = ({}, {})  # bare words, words after a space
-        self.units: dict[str, list[int]] = {}
+        self.units: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
+        self.marks: dict[str, list[int]] = {}
         self.pool = np.zeros(0, np.uint32)
-        self.begin = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.begin = np.zeros(1, np.int64)  # place 0 holds no ids: for words that aren't looked up
+        self.length = np.zeros(1, np.int64)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in encoded]
 
-    def _unit(self, unit: str) -> list[int]:
-        ids = self.units.get(unit)
-        if ids is None:
-            spelled = unit.encode().decode("latin-1").translate(self.letters)
-            ids = self.units[unit] = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-        return ids
+    def _spell(self, unit: str) -> list[int]:
+        """The ids the model gives a unit, spelled in the letters that stand for its bytes."""
+        spelled = unit if unit.isascii() and unit.isalpha() else unit.encode().decode("latin-1").translate(self.letters)
+        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
 
     def _learn(self, words: list[str], after_space: bool) -> None:
-        places = self.places[after_space]
+        places, units = self.places[after_space], self.units[after_space]
+        tokenize, lowered = self.tokenizer.model.tokenize, self.lowered
         space = " " if after_space and self.spaced else ""
-        found: list[list[int]] = []
+        lead = self.letters[32] if space else ""
+        flat: list[int] = []
+        length: list[int] = []
         rest: list[str] = []
         at = len(self.begin)
         for word in words:
-            if two := TWO_UNITS.fullmatch(word):
-                name, marks = two.groups()
-                ids = self._unit(space + (name.lower() if self.lowered else name))
-                found.append(ids + self._unit(marks) if marks else ids)
-                places[word] = at
-                at += 1
+            name = word.rstrip(MARKS)
+            if name.isascii() and name.isalpha():
+                key = name.lower() if lowered else name
+                ids = units.get(key)
+                if ids is None:
+                    ids = units[key] = [t.id for t in tokenize(lead + key)]
+            elif TWO_UNITS.fullmatch(word):
+                key = name.lower() if lowered else name
+                ids = units.get(key)
+                if ids is None:
+                    ids = units[key] = self._spell(space + key)
             elif PLAIN.fullmatch(word):
                 rest.append(word)
+                continue
             else:
                 places[word] = -1
+                continue
+            if len(name) < len(word):
+                marks = word[len(name) :]
+                known = self.marks.get(marks)
+                if known is None:
+                    known = self.marks[marks] = self._spell(marks)
+                ids = ids + known
+            flat.extend(ids)
+            length.append(len(ids))
+            places[word] = at
+            at += 1
         for word, ids in zip(rest, self.whole([space + w for w in rest])):
-            found.append(ids.tolist())
+            flat.extend(ids.tolist())
+            length.append(len(ids))
             places[word] = at
             at += 1
-        length = np.array([len(x) for x in found], np.int64)
-        self.begin = np.concatenate([self.begin, np.cumsum(length) - length + len(self.pool)])
-        self.length = np.concatenate([self.length, length])
-        self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.uint32)])
+        sizes = np.array(length, np.int64)
+        self.begin = np.concatenate([self.begin, np.cumsum(sizes) - sizes + len(self.pool)])
+        self.length = np.concatenate([self.length, sizes])
+        self.pool = np.concatenate([self.pool, np.array(flat, np.uint32)])
 
     def _look_up(self, words: list[str], after_space: bool) -> np.ndarray:
         """Cache places of words; -1 for a word that can't stand by itself."""
