@@ -40,16 +40,18 @@ SEGMENT_SCHEMA = "shard int, segment int, n_ids long, starts binary, payload bin
 
 def _pack_rows(values: np.ndarray, width: int) -> np.ndarray:
     """Rows of numbers below 2**width as rows of bytes, lowest bit first."""
-    raw = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(*values.shape, 4), axis=-1, bitorder="little")
+    lane = 2 if width <= 16 else 4  # bytes spread into bits
+    raw = np.unpackbits(values.astype(f"<u{lane}").view(np.uint8).reshape(*values.shape, lane), axis=-1, bitorder="little")
     bits = np.ascontiguousarray(raw[..., :width]).reshape(len(values), -1)
     return np.packbits(bits, axis=1, bitorder="little")
 
 
 def _unpack_rows(raw: np.ndarray, width: int, n: int) -> np.ndarray:
     bits = np.unpackbits(raw, axis=1, bitorder="little", count=n * width).reshape(len(raw), n, width)
-    out = np.zeros((len(raw), n, 32), np.uint8)
+    lane = 2 if width <= 16 else 4
+    out = np.zeros((len(raw), n, 8 * lane), np.uint8)
     out[..., :width] = bits
-    return np.packbits(out, axis=-1, bitorder="little").reshape(len(raw), n, 4).view("<u4")[..., 0]
+    return np.packbits(out, axis=-1, bitorder="little").reshape(len(raw), n, lane).view(f"<u{lane}")[..., 0].astype(np.uint32)
 
 
 def encode_blocks(ids: np.ndarray, at_once: int = 512) -> tuple[bytes, np.ndarray]:
