@@ -46,16 +46,15 @@ def test_shared_dir_follows_the_setting(spark):
     assert shared_dir(Cluster) == "hdfs://shared/cp"
 
 
-def test_a_cluster_without_the_setting_is_refused():
+def test_without_the_setting_the_warehouse_is_shared():
     class Cluster:
         class conf:
-            get = staticmethod(lambda key, default: default)
+            get = staticmethod(lambda key, default=None: "hdfs://wh" if "warehouse" in key else default)
 
         class sparkContext:
-            master = "spark://host:7077"
+            applicationId = "app-1"
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(Cluster)
+    assert shared_dir(Cluster) == "hdfs://wh/_shared/app-1"
 
 
 def test_warm_up_reaches_back_over_thin_days(trades_of):
