@@ -60,7 +60,7 @@ if __name__ == "__main__":
     )
     session.sparkContext.setLogLevel("ERROR")
     failed = 0
-    for query_name in sys.argv[2:] or entry.queries():
+    for query_name in sys.argv[2:] or entry.oracle_sql():
         begun = time.time()
         try:
             problem, rows = check(session, sys.argv[1], query_name)
