@@ -184,7 +184,9 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == expected
 
 
-def test_near_duplicates_of_odd_rows(odd, empty):
+@pytest.mark.parametrize("most", [4_000_000, -1])
+def test_near_duplicates_of_odd_rows(odd, empty, monkeypatch, most):
+    monkeypatch.setattr(near_dedup, "BROADCAST_CANDIDATES", most)
     found = near_dedup.near_duplicates(odd)
     got = collections.Counter((r["doc_id"], r["class_id"]) for r in found.collect())
     assert got[(6, 6)] == 2 and got[(7, 6)] == got[(8, 6)] == 1 and got[(7, 7)] == got[(None, None)] == got[(9, 9)] == 1

@@ -41,6 +41,9 @@ NO_ID = 1 << 62
 VERIFY_BYTES = 1_000_000
 #: In buckets up to this size every member is compared with every other.
 SMALL = 4
+#: Candidates whose node numbers (8 bytes each) are broadcast to where the texts are read, so that
+#: other texts stay there; with more candidates all texts are shuffled once. The result is the same.
+BROADCAST_CANDIDATES = 4_000_000
 
 SIGNATURE_SCHEMA = "doc_id long, text_key long, fp1 long, fp2 long, n_bytes long, bands array<long>"
 
@@ -231,10 +234,14 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     shared = materialise(shared.select("bucket", "leader", "n"), "buckets")
     members = materialise(buckets.join(shared, "bucket"), "members")
     nodes = members.select("node").distinct()
-    chosen = reps.join(nodes, "node").select("node", F.col("doc_id").alias("rep_doc"), F.col("text_key").alias("rep_key"))
+    chosen = materialise(reps.join(nodes, "node").select("node", "text_key"), "chosen")
+    # the join and the removal of repeated rows go by the same keys, in one shuffle
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
-    same = keyed["doc_id"].eqNullSafe(F.col("rep_doc")) & (keyed["text_key"] == F.col("rep_key"))
-    texts = materialise(keyed.join(materialise(chosen, "chosen"), same).groupBy("node").agg(F.first("text").alias("text")), "texts")
+    keyed = keyed.select(own.alias("node"), "text_key", "text")
+    if chosen.count() <= BROADCAST_CANDIDATES:
+        keyed = keyed.join(F.broadcast(chosen.select("node")), "node", "left_semi")
+    wanted = keyed.join(chosen, ["node", "text_key"]).dropDuplicates(["node", "text_key"])
+    texts = materialise(wanted.select("node", "text"), "texts")
 
     pairs = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("leader"), F.max("n_bytes").alias("n_bytes"))
     tried = materialise(pairs.select("leader", "node", "n_bytes"), "pairs")
