@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from tickloom.llm.common import per_worker
 
 #: Words kept with their ids in a worker; beyond that, it starts over.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 #: A word that starts and ends with printable ASCII, a letter, a digit or "_".
 PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
 #: Letters, then punctuation: two units of any of these tokenizers, which the model takes as they are.
@@ -140,8 +140,9 @@ class WordEncoder:
         index = coded.indices.to_numpy()
         distinct = np.array(coded.dictionary.to_pylist(), dtype=object)
         place = np.empty(len(index), np.int64)
-        for after_space in (True, False):
-            here = leads != after_space
+        # a word with no space of its own has the same ids everywhere
+        for after_space in (True, False) if self.spaced else (False,):
+            here = leads != after_space if self.spaced else np.ones(len(index), bool)
             used = np.zeros(len(distinct), bool)
             used[index[here]] = True
             table = np.full(len(distinct), -1, np.int64)
