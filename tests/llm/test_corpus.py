@@ -184,6 +184,63 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == expected
 
 
+def _quick_brute_classes(texts, least=0.8):
+    """As _brute_classes, for many texts without repeated shingles: the numbers of shared ones are a product of matrices."""
+    held = [near_dedup._multiset(t)[0] for t in texts]
+    names, holders = np.unique(np.concatenate(held), return_counts=True)
+    common = names[holders > 1]
+    has = np.array([np.isin(common, h) for h in held], np.float32)
+    shared = has @ has.T
+    n = np.array([len(h) for h in held])
+    linked = shared / (n[:, None] + n[None, :] - shared) >= least
+    label = np.arange(len(texts))
+    while True:
+        nearer = np.array([label[row].min() for row in linked])
+        if (nearer == label).all():
+            return label
+        label = nearer
+
+
+def test_copies_of_a_text_in_the_middle_are_one_class(spark):
+    """Copies like their source, unlike one another, and the source's id amid theirs."""
+    rng = random.Random(8)
+    source = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(2001):
+        words = list(source)
+        for at in rng.sample(range(6, 294, 6), 6) if i != 1000 else ():
+            words[at] = f"own{i}x{at}"
+        texts.append(" ".join(words))
+    label = _quick_brute_classes(texts)
+    alone = _quick_brute_classes([t for i, t in enumerate(texts) if i != 1000])
+    assert (label == 0).all() and len(set(alone)) > 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(label.tolist()))
+
+
+def test_links_between_any_two_members_of_large_buckets(spark):
+    """Pairs of like texts amid many texts a little too far from all others."""
+    rng = random.Random(9)
+    source = [f"w{i}" for i in range(400)]
+    texts = []
+    for i in range(150):
+        words = list(source)
+        edits = rng.sample(range(6, 394, 6), 14)
+        for at in edits[:6]:
+            words[at] = f"own{i}x{at}"
+        near = list(words)
+        for at in edits[6:]:
+            near[at] = f"near{i}x{at}"
+        texts += [" ".join(words), " ".join(near)]
+    rng.shuffle(texts)
+    label = _quick_brute_classes(texts)
+    assert len(set(label)) > 50
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == dict(enumerate(label.tolist()))
+
+
 @pytest.mark.parametrize("most", [4_000_000, -1])
 def test_near_duplicates_of_odd_rows(odd, empty, monkeypatch, most):
     monkeypatch.setattr(near_dedup, "BROADCAST_CANDIDATES", most)

@@ -8,13 +8,15 @@ earliest dart. Two documents agree in a coordinate with a probability equal to t
 Jaccard similarity of their multisets. Coordinates no dart has reached are filled by raising
 the limit. Bands of coordinates are buckets.
 
-Links are found by stars, never by all pairs of a bucket: first every member is compared with
-the smallest member of its buckets, then with the smallest and the largest member of each
-bucket that is not in its component yet; in buckets of up to ``SMALL`` members with each
-other one. The comparisons thus grow with the number of documents, however alike they are. Two
-similar texts share some eight of the 26 buckets, so that a pair missed in a large bucket, where
-both lie between the ends, is met in others, or joined through a third text. Comparisons are
-exact (shingles of both texts) and spread by bytes of text, so no group is ever in one task.
+Links are found in three rounds, which together leave no two members of a bucket uncompared
+unless they are in one component already. The hub of a bucket is its member with the largest
+buckets. Every member is compared with the first hub of its buckets, then with each of its
+buckets' hubs not in its component, at last with every member of its buckets not in its
+component. The first two rounds only keep the third small: a text with many copies is the hub of
+its buckets, whatever its id. A pair is compared once however many buckets it shares, and not at
+all if its texts' lengths rule the similarity out. Comparisons are exact (shingles of both
+texts) and spread by bytes of text, so no group is ever in one task; a bucket of many members
+unlike one another takes a comparison for each pair of them.
 """
 
 from __future__ import annotations
@@ -39,13 +41,11 @@ DARTS = COORDINATES * (np.log(COORDINATES) + 2)
 NO_ID = 1 << 62
 #: Text of members that one task compares with a leader.
 VERIFY_BYTES = 1_000_000
-#: In buckets up to this size every member is compared with every other.
-SMALL = 4
 #: Candidates whose node numbers (8 bytes each) are broadcast to where the texts are read, so that
 #: other texts stay there; with more candidates all texts are shuffled once. The result is the same.
 BROADCAST_CANDIDATES = 4_000_000
 
-SIGNATURE_SCHEMA = "doc_id long, text_key long, fp1 long, fp2 long, n_bytes long, bands array<long>"
+SIGNATURE_SCHEMA = "doc_id long, text_key long, fp1 long, fp2 long, n_bytes long, n_shingles long, bands array<long>"
 
 
 def normal_words(column: pa.Array) -> Words:
@@ -133,9 +133,10 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(fps[0]),
                     pa.array(fps[1]),
                     pa.array(sizes, pa.int64()),
+                    pa.array(np.where(counts > 0, np.maximum(counts - SHINGLE + 1, 1), 0), pa.int64()),
                     pa.array([b.tolist() if c else [] for b, c in zip(bands, counts.tolist())], pa.list_(pa.int64())),
                 ],
-                ["doc_id", "text_key", "fp1", "fp2", "n_bytes", "bands"],
+                ["doc_id", "text_key", "fp1", "fp2", "n_bytes", "n_shingles", "bands"],
             )
 
 
@@ -212,6 +213,27 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _pairs(met: DataFrame, least: float) -> DataFrame:
+    """Each pair of ``met`` (head, its, node, n_shingles, n_bytes) once, as leader, node, n_bytes, low and high.
+
+    Left out are pairs whose numbers of shingles, its and n_shingles, don't allow a similarity of ``least``.
+    """
+    alike = F.least("its", "n_shingles") / F.greatest("its", "n_shingles") >= F.lit(least)
+    low, high = F.least("node", "head").alias("low"), F.greatest("node", "head").alias("high")
+    once = met.where(alike).groupBy(low, high).agg(F.min("head").alias("leader"), F.max("n_bytes").alias("n_bytes"))
+    return once.select("leader", F.when(F.col("leader") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("node"), "n_bytes", "low", "high")
+
+
+def _open_members(members: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components of ``links``; and members of buckets with several components: theirs, and the bucket's largest."""
+    parts = components(links)
+    placed = members.join(parts, "node", "left").select("bucket", "node", "n_bytes", "n_shingles", F.coalesce("component", "node").alias("component"))
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("size", "component")).alias("most"), F.count("*").alias("n_parts")).where("n_parts > 1")
+    mixed = mixed.select("bucket", F.col("most.component").alias("largest"))
+    return parts, materialise(placed.join(mixed, "bucket"), "placed")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Class of every row of ``docs`` (doc_id, text): doc_id, text_key, class_id, class_node.
 
@@ -225,13 +247,12 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     signed = materialise(signatures(docs), "signatures")
     own = F.coalesce("doc_id", F.lit(NO_ID) + F.call_function("shiftrightunsigned", F.col("text_key"), F.lit(3)))
     with_words = signed.where(F.size("bands") > 0)
-    first = F.min(F.struct(own.alias("node"), "doc_id", "text_key", "n_bytes")).alias("rep")
+    first = F.min(F.struct(own.alias("node"), "doc_id", "text_key", "n_bytes", "n_shingles")).alias("rep")
     copies = with_words.groupBy("fp1", "fp2").agg(first, F.first("bands").alias("bands"))
     reps = materialise(copies.select("fp1", "fp2", "rep.*", "bands"), "representatives")
 
-    buckets = reps.select("node", "n_bytes", F.explode("bands").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
-    shared = materialise(shared.select("bucket", "leader", "n"), "buckets")
+    buckets = reps.select("node", "n_bytes", "n_shingles", F.explode("bands").alias("bucket"))
+    shared = materialise(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = materialise(buckets.join(shared, "bucket"), "members")
     nodes = members.select("node").distinct()
     chosen = materialise(reps.join(nodes, "node").select("node", "text_key"), "chosen")
@@ -243,22 +264,30 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     wanted = keyed.join(chosen, ["node", "text_key"]).dropDuplicates(["node", "text_key"])
     texts = materialise(wanted.select("node", "text"), "texts")
 
-    pairs = members.where("node <> leader").groupBy("node").agg(F.min("leader").alias("leader"), F.max("n_bytes").alias("n_bytes"))
-    tried = materialise(pairs.select("leader", "node", "n_bytes"), "pairs")
+    scores = members.groupBy("node").agg(F.sum("n").alias("score"))
+    ranked = members.join(scores, "node").select("bucket", "score", "node", "n_shingles")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("score", "node", "n_shingles")).alias("hub"))
+    hubs = materialise(hubs.select("bucket", F.col("hub.score").alias("score"), F.col("hub.node").alias("head"), F.col("hub.n_shingles").alias("its")), "hubs")
+    met = members.join(hubs, "bucket").where(F.col("node") != F.col("head"))
+    met = met.groupBy("node").agg(F.max(F.struct("score", "head", "its")).alias("hub"), F.max("n_bytes").alias("n_bytes"), F.max("n_shingles").alias("n_shingles"))
+    tried = materialise(_pairs(met.select("node", "n_bytes", "n_shingles", "hub.head", "hub.its"), least), "pairs")
     links = materialise(verified(tried, texts, least), "links")
-    parts = components(links)
-    placed = materialise(
-        members.join(parts, "node", "left").select("bucket", "n", "node", "n_bytes", F.coalesce("component", "node").alias("component")), "placed"
-    )
-    end = F.struct("node", "component")
-    ends = placed.where(F.col("n") > SMALL).groupBy("bucket").agg(F.array(F.min(end), F.max(end)).alias("ends"))
-    heads = ends.select("bucket", F.explode("ends").alias("end")).select("bucket", "end.*")
-    heads = heads.unionByName(placed.where(F.col("n") <= SMALL).select("bucket", "node", "component"))
-    heads = materialise(heads.select("bucket", F.col("node").alias("head"), F.col("component").alias("other")), "heads")
+
+    parts, placed = _open_members(members, links)
+    heads = hubs.join(placed.select("bucket", F.col("node").alias("head"), F.col("component").alias("other")), ["bucket", "head"])
     met = placed.join(heads, "bucket").where("component <> other")
-    met = met.groupBy(F.least("node", "head").alias("leader"), F.greatest("node", "head").alias("node")).agg(F.max("n_bytes").alias("n_bytes"))
-    fresh = materialise(met.join(tried.select("leader", "node"), ["leader", "node"], "left_anti"), "pairs")
+    fresh = materialise(_pairs(met, least).join(tried.select("low", "high"), ["low", "high"], "left_anti"), "pairs")
     more = materialise(verified(fresh, texts, least), "links")
+    tried, links = tried.unionByName(fresh), links.unionByName(more)
+
+    # of two members in different components, one at least is outside the bucket's largest component
+    parts, placed = _open_members(members, links)
+    outside = placed.where("component <> largest").select(
+        "bucket", F.col("node").alias("head"), F.col("component").alias("other"), F.col("n_shingles").alias("its")
+    )
+    met = placed.join(outside, "bucket").where("component <> other AND (component = largest OR node < head)")
+    rest = materialise(_pairs(met, least).join(tried.select("low", "high"), ["low", "high"], "left_anti"), "pairs")
+    more = materialise(verified(rest, texts, least), "links")
     if not more.isEmpty():
         parts = components(links.unionByName(more))
 
