@@ -4,27 +4,32 @@ Texts are normalised to lower-case words; every window of ``window`` words of a
 item (or the whole item, if shorter) is a key of the automaton, as a sequence of word
 numbers. A document's words run through it once; hits are mapped back to places in the
 original text. Only the benchmark is broadcast, and its size is checked: beyond
-``MAX_BENCHMARK_BYTES`` of text it is cut into parts, each scanned with an automaton of its own.
+``MAX_BENCHMARK_BYTES`` of text it is cut into parts, and each task scans its rows, some
+``CHUNK_BYTES`` of text at a time, with the automaton of one part after the other. A worker holds
+one automaton, the last one it used. The parts pass through the driver one by one.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.llm.common import per_worker
 from tickloom.llm.words import LOWER, NOT_ALPHANUMERIC
 
 WINDOW = 10
 #: Benchmark text in one automaton; some 150 bytes of memory for each byte of it.
 MAX_BENCHMARK_BYTES = 4_000_000
+#: Text a task holds while it scans with several automata, each built once for that much text.
+CHUNK_BYTES = 64_000_000
 #: Words come apart at every byte that becomes a space here.
 NORMAL = bytes(32 if NOT_ALPHANUMERIC[b] else int(LOWER[b]) for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -80,14 +85,65 @@ class Matcher:
         return runs, sorted({self.items[i] for i in found})
 
 
-def _scanner(parts: Broadcast, window: int):
-    token = uuid.uuid4().hex  # names this automaton in worker processes that several queries use
+def _matcher(name: str, part: Broadcast, window: int) -> Matcher:
+    """The automaton of ``part``, kept in the worker until it needs another one."""
+    kept = vars(sys).setdefault("_corpus_matcher", {})
+    if name not in kept:
+        kept.clear()
+        kept[name] = Matcher([(item, normal_words(text)) for item, text in part.value], window)
+        vars(part).pop("_value", None)  # the part's text; it is read again if needed
+    return kept[name]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in lists of ``most`` bytes of text, a batch at least."""
+    chunk: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        chunk.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(text))).as_py() or 0
+        if size >= most:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def united(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Runs that overlap or touch as one."""
+    done: list[tuple[int, int]] = []
+    for first, last in sorted(runs):
+        if done and first <= done[-1][1] + 1:
+            done[-1] = (done[-1][0], max(done[-1][1], last))
+        else:
+            done.append((first, last))
+    return done
+
+
+def _scanned(parts: list[Broadcast], window: int, text: str):
+    """A function from batches to (batch, its rows' bytes of text, runs and items), whatever the number of parts."""
+    token = uuid.uuid4().hex  # names these automata in worker processes that several queries use
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes | None, list, list]]]]:
+        for chunk in _chunks(batches, text, CHUNK_BYTES if len(parts) > 1 else 0):
+            rows = [[(value.as_py(), [], []) for value in batch.column(text).cast(pa.binary())] for batch in chunk]
+            for k, part in enumerate(parts):
+                matcher = _matcher(f"{token}-{k}", part, window)
+                for content, runs, items in (row for held in rows for row in held):
+                    more, names = matcher.scan(normal_words(content))
+                    runs += more
+                    items += names
+                del matcher  # before the next one is built
+            for batch, held in zip(chunk, rows):
+                yield batch, [(content, united(runs), sorted(set(items))) for content, runs, items in held]
+
+    return scan
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def build() -> Matcher:
-            return Matcher([(name, normal_words(text)) for name, text in parts.value], window)
 
-        matcher = per_worker(token, build)
+def _scanner(parts: list[Broadcast], window: int):
+    scanned = _scanned(parts, window, "content")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [
                 ("row", pa.int64()),
@@ -97,23 +153,25 @@ def _scanner(parts: Broadcast, window: int):
                 ("items", pa.list_(pa.string())),
             ]
         )
-        for batch in batches:
+        for batch, found in scanned(batches):
             rows = []
-            for row, value in zip(batch.column(0), batch.column(1)):
-                text = value.as_py()
-                words = normal_words(text)
-                runs, items = matcher.scan(words)
+            for row, (text, runs, items) in zip(batch.column("row"), found):
                 spans = []
                 if runs:
                     places = [m.span() for m in WORD.finditer(text.decode("utf-8", "replace"))]
                     spans = [{"start": places[a][0], "end": places[b][1]} for a, b in runs]
                 hits = [{"first": a, "last": b} for a, b in runs]
-                rows.append({"row": row.as_py(), "n_words": len(words), "hits": hits, "spans": spans, "items": items})
+                rows.append({"row": row.as_py(), "n_words": len(normal_words(text)), "hits": hits, "spans": spans, "items": items})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return scan
 
 
+def _broadcast(spark: SparkSession, benchmark: DataFrame, most: int) -> list[Broadcast]:
+    context = spark.sparkContext
+    return [context.broadcast(part) for part in benchmark_parts(benchmark, most)] or [context.broadcast([])]
+
+
 def benchmark_parts(benchmark: DataFrame, most: int = MAX_BENCHMARK_BYTES) -> Iterator[list[tuple[str, bytes]]]:
     """The benchmark's (item_id, text) rows in parts of ``most`` bytes of text, an item at least."""
     part: list[tuple[str, bytes]] = []
@@ -137,21 +195,14 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     original text. Null and empty texts have no words; items without words match nothing; an
     item id that is null counts as the empty string; repeated rows are judged alike; an empty
     benchmark contaminates nothing. Other columns are ignored. Texts are scanned where they
-    are read, without a shuffle, unless the benchmark needs more than one part.
+    are read, without a shuffle, into one row for each, however many parts the benchmark needs.
     """
-    spark: SparkSession = docs.sparkSession
-    parts = [spark.sparkContext.broadcast(part) for part in benchmark_parts(benchmark, most)] or [
-        spark.sparkContext.broadcast([])
-    ]
+    return _overlaps(docs, _broadcast(docs.sparkSession, benchmark, most), window)
+
+
+def _overlaps(docs: DataFrame, parts: list[Broadcast], window: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("row"), F.col("text").cast("binary").alias("content"))
-    scans = [texts.mapInArrow(_scanner(part, window), SCHEMA) for part in parts]
-    if len(scans) == 1:
-        found = scans[0]
-    else:
-        whole = scans[0].withColumn("part", F.lit(0))
-        for k, scan in enumerate(scans[1:], 1):
-            whole = whole.unionByName(scan.withColumn("part", F.lit(k)))
-        found = _merged(whole)
+    found = texts.mapInArrow(_scanner(parts, window), SCHEMA)
     covered = F.aggregate("hits", F.lit(0).cast("long"), lambda total, run: total + run["last"] - run["first"] + 1)
     return found.select(
         F.col("row").alias("doc_id"),
@@ -164,30 +215,6 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
     )
 
 
-def _merged(scans: DataFrame) -> DataFrame:
-    """One row per document from a row per document and part: runs united, items gathered.
-
-    Rows that share an id and all their counts are one row here.
-    """
-
-    def unite(runs, first, last):
-        def add(done, run):
-            top = F.element_at(done, -1)
-            joined = F.struct(top[first].alias(first), F.greatest(top[last], run[last]).alias(last))
-            touches = (F.size(done) > 0) & (run[first] <= F.coalesce(F.try_element_at(done, F.lit(-1))[last], F.lit(-2)) + 1)
-            return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(run)))
-
-        kind = f"array<struct<{first}:int,{last}:int>>"
-        return F.aggregate(F.array_sort(runs), F.array().cast(kind), add)
-
-    gathered = scans.groupBy("row", "n_words").agg(
-        F.flatten(F.collect_list("hits")).alias("hits"),
-        F.flatten(F.collect_list("spans")).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    return gathered.withColumn("hits", unite(F.col("hits"), "first", "last")).withColumn("spans", F.array_sort("spans"))
-
-
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows and columns of ``docs`` whose text has no window of the benchmark.
 
