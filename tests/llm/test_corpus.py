@@ -340,6 +340,30 @@ def test_overlaps_are_the_same_in_parts(spark, odd, items):
     assert found(10) == found(400) == found(4_000_000)
 
 
+@pytest.mark.parametrize("most", [10, 4_000_000])
+def test_clean_rows_without_an_id_stay(spark, items, most):
+    rows = [(None, PASSAGE, 1), (None, "a clean text", 2), (None, None, 3), (5, PASSAGE, 4), (6, "another clean text", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, place int")
+    kept = decontamination.clean_documents(docs, items, most=most)
+    assert kept.schema == docs.schema
+    assert sorted(r["place"] for r in kept.collect()) == [2, 3, 5]
+
+
+def test_overlaps_are_the_same_in_parts(spark, odd, items):
+    """Rows with null and equal ids and as many words each, a window across two touching runs."""
+    words = PASSAGE.split()
+    left, right = " ".join(words[:30]), " ".join(words[30:])
+    both = spark.createDataFrame([(1, left), (2, right), (2, "one")], "item_id long, text string")
+    rows = [(None, PASSAGE), (None, PASSAGE), (None, " ".join(f"clean{i}" for i in range(60))), (5, left), (5, right), (5, left + " x one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).unionByName(odd.select("doc_id", "text"))
+
+    def found(most):
+        return sorted(map(repr, decontamination.find_overlaps(docs, both, most=most).collect()))
+
+    assert len(found(10)) == docs.count()
+    assert found(10) == found(400) == found(4_000_000)
+
+
 def _brute_counts(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = collections.Counter(tuple(words[i : i + 3]) for i in range(len(words) - 2))

@@ -215,14 +215,23 @@ def _overlaps(docs: DataFrame, parts: list[Broadcast], window: int) -> DataFrame
     )
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_BENCHMARK_BYTES) -> DataFrame:
     """The rows and columns of ``docs`` whose text has no window of the benchmark.
 
-    Rows that share an id share the verdict.
+    Rows that share an id share the verdict; rows without an id are judged by their own text.
     """
-    overlaps = find_overlaps(docs, benchmark, window)
-    bad = overlaps.where("contaminated").select(F.col("doc_id").alias("_bad_doc")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_doc")), "left_anti")
+    parts = _broadcast(docs.sparkSession, benchmark, most)
+    number = F.col("doc_id").cast("long")
+    named = docs.where(number.isNotNull())
+    bad = _overlaps(named, parts, window).where("contaminated").select(F.col("doc_id").alias("_bad_doc")).distinct()
+    scanned = _scanned(parts, window, "text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in scanned(batches):
+            yield batch.filter(pa.array([not runs for _, runs, _ in found], pa.bool_()))
+
+    kept = named.join(bad, number == F.col("_bad_doc"), "left_anti")
+    return kept.unionByName(docs.where(number.isNull()).mapInArrow(clean, docs.schema))
 
 
 OVERLAP_SQL = r"""
