@@ -121,21 +121,27 @@ def united(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _scanned(parts: list[Broadcast], window: int, text: str):
-    """A function from batches to (batch, its rows' bytes of text, runs and items), whatever the number of parts."""
+    """A function from batches to (batch, its rows' bytes of text, number of words, runs and items), whatever the number of parts."""
     token = uuid.uuid4().hex  # names these automata in worker processes that several queries use
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes | None, list, list]]]]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list]]]:
         for chunk in _chunks(batches, text, CHUNK_BYTES if len(parts) > 1 else 0):
-            rows = [[(value.as_py(), [], []) for value in batch.column(text).cast(pa.binary())] for batch in chunk]
+            rows = [[[value.as_py(), 0, [], []] for value in batch.column(text).cast(pa.binary())] for batch in chunk]
             for k, part in enumerate(parts):
                 matcher = _matcher(f"{token}-{k}", part, window)
-                for content, runs, items in (row for held in rows for row in held):
-                    more, names = matcher.scan(normal_words(content))
-                    runs += more
-                    items += names
+                for held in rows:
+                    for row in held:
+                        words = normal_words(row[0])
+                        row[1] = len(words)
+                        runs, items = matcher.scan(words)
+                        row[2] += runs
+                        row[3] += items
                 del matcher  # before the next one is built
             for batch, held in zip(chunk, rows):
-                yield batch, [(content, united(runs), sorted(set(items))) for content, runs, items in held]
+                for row in held:
+                    if row[2]:
+                        row[2:] = united(row[2]), sorted(set(row[3]))
+                yield batch, held
 
     return scan
 
@@ -155,13 +161,13 @@ def _scanner(parts: list[Broadcast], window: int):
         )
         for batch, found in scanned(batches):
             rows = []
-            for row, (text, runs, items) in zip(batch.column("row"), found):
+            for row, (text, n_words, runs, items) in zip(batch.column("row"), found):
                 spans = []
                 if runs:
                     places = [m.span() for m in WORD.finditer(text.decode("utf-8", "replace"))]
                     spans = [{"start": places[a][0], "end": places[b][1]} for a, b in runs]
                 hits = [{"first": a, "last": b} for a, b in runs]
-                rows.append({"row": row.as_py(), "n_words": len(normal_words(text)), "hits": hits, "spans": spans, "items": items})
+                rows.append({"row": row.as_py(), "n_words": n_words, "hits": hits, "spans": spans, "items": items})
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return scan
@@ -228,7 +234,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, found in scanned(batches):
-            yield batch.filter(pa.array([not runs for _, runs, _ in found], pa.bool_()))
+            yield batch.filter(pa.array([not runs for _, _, runs, _ in found], pa.bool_()))
 
     kept = named.join(bad, number == F.col("_bad_doc"), "left_anti")
     return kept.unionByName(docs.where(number.isNull()).mapInArrow(clean, docs.schema))
