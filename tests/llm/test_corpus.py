@@ -286,6 +286,12 @@ def test_repeats_of_odd_rows(odd, empty, monkeypatch, sizes):
     assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_texts_without_an_id_are_dealt_to_many_groups(spark):
+    docs = spark.range(400).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    sizes = [r["count"] for r in substring_dedup.dealt(docs, 8).groupBy("batch").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 100
+
+
 def test_lines_of_odd_rows(spark, odd, empty):
     line = "A line that is long enough to be a key of its own"
     texts = [f"head {i}\n  {line.upper() if i % 2 else line}\t\ntail" for i in range(6)]

@@ -206,6 +206,13 @@ def _answer(kind: int):
     return answer
 
 
+def dealt(docs: DataFrame, n_groups: int) -> DataFrame:
+    """doc_id and text of ``docs``, and the group of each row: rows that share an id are spread by their texts."""
+    return docs.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).alias("batch")
+    )
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) without words that a smaller document holds in a 13-word window.
 
@@ -217,9 +224,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     total = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     n_groups, part_bits = plan_sizes(total)
-    rows = docs.select(
-        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.pmod(F.xxhash64("doc_id"), F.lit(n_groups)).alias("batch")
-    )
+    rows = dealt(docs, n_groups)
 
     def send_anchors(key: tuple, table: pa.Table) -> pa.Table:
         return _entries(Group(table, part_bits).anchor_entries(_batch(key)))
