@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import decontamination, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, token_file, url_filter, warc
+from tickloom.llm import decontamination, hard_negatives, lattice_dedup, line_dedup, near_dedup, packing, quality, sharding, source_audit, substring_dedup
+from tickloom.llm import token_file, url_filter, warc
 from tickloom.llm.common import read_table
 from tickloom.llm.sharding_sql import shard_sql
 from tickloom.session import run_dir
@@ -77,6 +78,18 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine_hard_negatives(hard_negatives.relabelled(read_table(spark, sf_dir, "embeddings")))
+
+
+def op12_lattice_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(read_table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     operators = [
         op1_warc_derivatives,
@@ -89,6 +102,9 @@ def all_queries() -> dict[str, Query]:
         op8_substring_dedup,
         op9_token_files,
         op10_feistel_shards,
+        op11_hard_negatives,
+        op12_lattice_duplicates,
+        op13_source_divergence,
     ]
     return {f.__name__: f for f in operators} | {"pipeline": corpus_pipeline.run}
 
@@ -99,5 +115,7 @@ def all_oracles() -> dict[str, str]:
         "op6_line_dedup": line_dedup.LINE_SQL,
         "op8_substring_dedup": substring_dedup.REPEAT_SQL,
         "op10_feistel_shards": shard_sql(),
+        "op11_hard_negatives": hard_negatives.HARD_NEGATIVE_SQL,
+        "op13_source_divergence": source_audit.DIVERGENCE_SQL,
     }
     return given | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
