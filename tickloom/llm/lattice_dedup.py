@@ -66,7 +66,7 @@ def decode_e8(points: np.ndarray) -> np.ndarray:
 
 def _cell_names(lattice: np.ndarray, table: int) -> np.ndarray:
     """A 64-bit name of each lattice point (its last axis) in a table."""
-    name = np.full(lattice.shape[:-1], table + 1, np.uint64)
+    name = np.full(lattice.shape[:-1], mix(np.array([table + 1], np.uint64))[0])
     for k in range(8):
         name = mix(name ^ (2 * lattice[..., k]).astype(np.int64).view(np.uint64))
     return name.view(np.int64)
@@ -112,6 +112,9 @@ class Members:
         self.node, self.copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "copies"))
         self.role = batch.column("role").to_numpy(zero_copy_only=False)
         self.units = matrix(batch.column("vector"), dims)
+        self.cell, i, j = (batch.column(c)[0].as_py() for c in ("cell", "i", "j"))
+        #: in other groups, pairs within the left slice are compared elsewhere
+        self.diagonal = i == j
         self.homes, self.probes = matrix(batch.column("homes"), TABLES), matrix(batch.column("probes"), TABLES * PROBES)
 
     def probed(self, at: np.ndarray, other: np.ndarray, table: int) -> np.ndarray:
@@ -155,7 +158,7 @@ def _compare_cell(m: Members, least: float) -> list[tuple[np.ndarray, np.ndarray
     found = []
     for role in (LEFT, RIGHT, PROBING):
         right = np.flatnonzero(m.role == role)
-        if not len(left) or not len(right):
+        if not len(left) or not len(right) or (role == LEFT and not m.diagonal):
             continue
         for at in range(0, len(right), SLICE):
             some = right[at : at + SLICE]
@@ -197,9 +200,7 @@ def _compare(least: float, dims: int):
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
         for group in groups():
-            members = Members(group, dims)
-            members.cell = group.column("cell")[0].as_py()
-            for columns in _compare_cell(members, least):
+            for columns in _compare_cell(Members(group, dims), least):
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
 
     return compare
