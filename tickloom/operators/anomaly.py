@@ -43,22 +43,22 @@ def score(
     lookback: int = S.LOOKBACK,
     chunk_rows: int = rolling.CHUNK_ROWS,
     tie_break: list[str] | None = None,
-    grain_seconds: int = 60,
 ) -> DataFrame:
     """Add mean, deviation and z-score of price and volume; one symbol spreads over many tasks.
 
-    One symbol's trades of one grain are ranked in one task; shorten the grain if a minute
-    of the busiest symbol is too much for that.
+    The trades are read once, when this is called, and written in the order of their series.
     """
     order = arrival_order(trades, tie_break)
     usable = trades.dropna(subset=["symbol", "price", "volume", "event_time"])
-    placed = rolling.with_position(usable, "symbol", time_grain("event_time", grain_seconds), order)
-    return score_placed(placed, lookback, chunk_rows).drop(rolling.POSITION)
+    placed = rolling.place(usable, "symbol", order)
+    return score_placed(placed, lookback, chunk_rows, rolling.chunk_tasks(placed)).drop(rolling.POSITION)
 
 
-def score_placed(placed: DataFrame, lookback: int = S.LOOKBACK, chunk_rows: int = rolling.CHUNK_ROWS) -> DataFrame:
+def score_placed(
+    placed: DataFrame, lookback: int = S.LOOKBACK, chunk_rows: int = rolling.CHUNK_ROWS, tasks: int | None = None
+) -> DataFrame:
     """The same for trades that already carry their position within the symbol."""
-    chunks = rolling.with_chunks(placed, "symbol", lookback, chunk_rows)
+    chunks = rolling.with_chunks(placed, "symbol", lookback, chunk_rows, tasks)
     return _with_zscores(rolling.prior_stats(chunks, "symbol", ["price", "volume"], lookback))
 
 

@@ -4,6 +4,9 @@ A window partitioned by symbol alone puts a whole symbol into one task. Here eac
 first gets its exact position in its symbol's series; the series is then cut into
 chunks of equal length, and the rows a chunk needs from before its start are copied
 into it. Work is spread by chunk, however unequal the symbols are, and no row is lost.
+
+Positions come from a range partitioning of all rows by series and time (``place``), or, for
+short inputs that continue a series, from counts per series and grain (``with_position``).
 """
 
 from __future__ import annotations
@@ -16,10 +19,48 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
+from tickloom.session import written
+
 CHUNK_ROWS = 10_000
 POSITION = "position"
 CHUNK = "chunk"
 WARMUP = "is_warmup"
+#: Rows of the chunks that one task handles.
+TASK_ROWS = 100_000
+
+
+def place(df: DataFrame, key: str, order: list[str], within: str | None = None, rank_as: str = "rank_within") -> DataFrame:
+    """Number each key's rows 1..n in ``order``; with ``within``, also those of each key and value of it.
+
+    Rows are partitioned by ranges of (key, order) and written, each with its line in its
+    partition. A key that continues from earlier partitions starts at the sum of the rows they
+    hold of it: one number per key and partition, from a scan of three narrow columns. So the
+    input is read once, and a key whose rows are all of one minute is sorted by many tasks.
+    """
+    in_order = df.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    line = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = written(in_order.select("*", F.spark_partition_id().alias("part"), line.alias("line")), "series")
+    group = [key] + ([within] if within else [])
+    spans = lines.groupBy("part", *group).agg(F.min("line").alias("from_line"), F.count("*").alias("span_rows"))
+    earlier = W.partitionBy(key).orderBy("part", "from_line").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("span_rows").over(earlier), F.lit(0))
+    offsets = {"position_offset": before - F.col("from_line")}
+    if within:
+        same = W.partitionBy(*group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+        offsets["rank_offset"] = F.coalesce(F.sum("span_rows").over(same), F.lit(0)) - F.col("from_line")
+    spans = spans.select(*[F.col(c).alias(f"span_{c}") for c in ["part", *group]], *[c.alias(n) for n, c in offsets.items()])
+    matches = lines["part"] == spans["span_part"]
+    for column in group:
+        matches = matches & lines[column].eqNullSafe(spans[f"span_{column}"])
+    placed = lines.join(spans, matches).withColumn(POSITION, F.col("line") + 1 + F.col("position_offset"))
+    if within:
+        placed = placed.withColumn(rank_as, F.col("line") + 1 + F.col("rank_offset"))
+    return placed.select(*df.columns, POSITION, *([rank_as] if within else []))
+
+
+def chunk_tasks(placed: DataFrame) -> int:
+    """Tasks for the chunks of a placed and written table: as its rows need."""
+    return max(1, -(-placed.count() // TASK_ROWS))
 
 
 def with_position(
@@ -57,18 +98,24 @@ def with_position(
     )
 
 
-def with_chunks(df: DataFrame, key: str, lookback: int, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def with_chunks(
+    df: DataFrame, key: str, lookback: int, chunk_rows: int = CHUNK_ROWS, tasks: int | None = None
+) -> DataFrame:
     """Assign chunks, copying the last ``lookback`` rows of a chunk into the next as warm-up.
 
-    The result is spread by (key, chunk) over ``spark.sql.shuffle.partitions`` tasks. The
-    number is explicit, since chunks are few bytes but much work and would be coalesced.
+    The result is spread by (key, chunk) over ``tasks`` tasks, as many as the rows need, but no
+    fewer than the session's parallelism. The number is explicit, since chunks are few bytes
+    but much work and would be coalesced. Without it, ``spark.sql.shuffle.partitions`` counts.
     """
     if chunk_rows < lookback:
         raise ValueError("a chunk must be at least as long as the lookback")
     own = F.expr(f"({POSITION} - 1) div {chunk_rows}")
     in_tail = (F.col(POSITION) - 1) % chunk_rows >= chunk_rows - lookback
     copies = F.when(in_tail, F.array(own, own + 1)).otherwise(F.array(own))
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if tasks is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    else:
+        partitions = max(tasks, df.sparkSession.sparkContext.defaultParallelism)
     return (
         df.withColumn(CHUNK, F.explode(copies))
         .withColumn(WARMUP, F.col(CHUNK) != own)

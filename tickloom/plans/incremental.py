@@ -47,7 +47,7 @@ def realtime_since(bars: DataFrame, since: dt.date) -> DataFrame:
         .filter(F.col("age") < LONG_MEAN)
         .drop("age")
     )
-    whole = fct_realtime_ohlcv(fresh.unionByName(warmup).drop("series"))
+    whole = fct_realtime_ohlcv(fresh.unionByName(warmup).drop("series"), ranged=False)
     return whole.filter(F.col("trade_date") >= F.lit(since))
 
 

@@ -20,19 +20,26 @@ from tickloom.operators import rolling
 SHORT_MEAN, LONG_MEAN, VOLUME_MEAN = 20, 50, 10
 
 
-def fct_realtime_ohlcv(bars: DataFrame, chunk_rows: int | None = rolling.CHUNK_ROWS) -> DataFrame:
+def fct_realtime_ohlcv(bars: DataFrame, chunk_rows: int | None = rolling.CHUNK_ROWS, ranged: bool = True) -> DataFrame:
     """Staged bars with moving averages and signals.
 
     Long histories are cut into chunks that carry 49 bars of warm-up, so one symbol is
-    not one task. ``chunk_rows=None`` keeps a single window per symbol, which saves a
-    shuffle where the input is short, as in incremental loads.
+    not one task. The bars are built once, when this is called, and written in the order of their
+    series; with ``ranged=False``, for short inputs, they are counted per day instead, and
+    nothing runs yet. ``chunk_rows=None`` keeps a single window per symbol, which saves a
+    shuffle where the input is very short.
     """
     if chunk_rows is None:
         day = W.partitionBy("symbol", "trade_date").orderBy("window_start")
         return _with_signals(bars.withColumn("bar_sequence", F.row_number().over(day)), ["symbol"])
     keyed = bars.withColumn("series", series_key())
-    placed = rolling.with_position(keyed, "series", F.col("trade_date"), ["window_start"], rank_as="bar_sequence")
-    chunks = rolling.with_chunks(placed, "series", LONG_MEAN - 1, chunk_rows)
+    if ranged:
+        placed = rolling.place(keyed, "series", ["window_start"], within="trade_date", rank_as="bar_sequence")
+        tasks = rolling.chunk_tasks(placed)
+    else:
+        placed = rolling.with_position(keyed, "series", F.col("trade_date"), ["window_start"], rank_as="bar_sequence")
+        tasks = None
+    chunks = rolling.with_chunks(placed, "series", LONG_MEAN - 1, chunk_rows, tasks)
     return _with_signals(chunks, ["series", rolling.CHUNK], warmup=rolling.WARMUP)
 
 

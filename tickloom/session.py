@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every timestamp in the data is UTC; dates and hours are taken in this zone.
 SESSION_SETTINGS = {
@@ -61,3 +61,55 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back.
+
+    What follows reads the same rows however often it is run or retried, on any executor. The
+    folder stays until ``release_runs``.
+    """
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    _written.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+def release_runs(spark: SparkSession) -> int:
+    """Delete the folders ``written`` has made in this process; call it when no result that reads them is needed."""
+    paths = [_written.pop() for _ in range(len(_written))]
+    for path in paths:
+        delete_folder(spark, path)
+    return len(paths)
+
+
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    at, files = _folder(spark, path)
+    return files.exists(at)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    at, files = _folder(spark, path)
+    files.delete(at, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    at, files = _folder(spark, source)
+    to, _ = _folder(spark, target)
+    files.mkdirs(to.getParent())
+    if not files.rename(at, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def list_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    at, files = _folder(spark, pattern)
+    return [status.getPath().toString() for status in files.globStatus(at) or []]
