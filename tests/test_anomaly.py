@@ -163,3 +163,34 @@ def test_unknown_severity_has_fallbacks(spark):
     assert row.price_text.endswith("(DOWN)")
     assert row.detected_text == "*Detected:* 2024-01-01T00:00:00"
     assert alerts.alerting(found).count() == 0
+
+
+def test_a_symbol_of_one_minute_is_placed_by_many_tasks(spark, trades_of):
+    """Equal times and prices, too: only the sequence tells the trades apart."""
+    from tickloom.operators import rolling
+
+    rows = [("HOT", 1.0, 5, 3) for _ in range(4000)] + [("B", 2.0, 5, 3), ("A", 2.0, 5, 3)]
+    placed = rolling.place(trades_of(rows), "symbol", ["event_time", "seq"])
+    assert sorted((r.symbol, r.seq, r.position) for r in placed.collect()) == [
+        ("A", 4001, 1), ("B", 4000, 1), *[("HOT", i, i + 1) for i in range(4000)]
+    ]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        from tickloom.session import _written
+
+        rolling.place(trades_of(rows), "symbol", ["event_time", "seq"])
+        held = spark.read.parquet(_written[-1]).groupBy("part").count().collect()
+        assert len(held) == 4 and max(r["count"] for r in held) < 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_ranks_within_days_of_many_partitions(spark):
+    from tickloom.operators import rolling
+
+    rows = [(k, f"d{d}" if d else None, d * 100 + i) for k in (None, "a", "b") for d in range(4) for i in range(7)]
+    df = spark.createDataFrame(rows, "k string, day string, at int").withColumn("k", F.coalesce("k", F.lit("")))
+    got = rolling.place(df.repartition(3), "k", ["at"], within="day", rank_as="n").collect()
+    assert {(r.k, r.at): (r.position, r.n) for r in got} == {
+        (k or "", at): (d * 7 + at % 100 + 1, at % 100 + 1) for k, _, at in rows for d in [at // 100]
+    }

@@ -113,3 +113,32 @@ def test_incremental_reads_only_the_dates_it_needs(spark, trades):
     scans = [line for line in text.splitlines() if "FileScan" in line]
     assert all("PartitionFilters: [" in line and "trade_date" in line.split("PartitionFilters")[1] for line in scans)
     assert any("IN (" in line or "INSET" in line or " IN " in line for line in scans)
+
+
+def test_scores_read_the_trades_once_and_spread_chunks_by_rows(spark, trades):
+    from tickloom.operators import rolling
+
+    scored = anomaly.score(trades)
+    text = plan(scored)
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    # the trades in series order, and the spans counted from three narrow columns of them
+    assert len(scans) == 2 and all("/trades" not in s for s in scans)
+    assert "ReadSchema: struct<symbol:string,part:int,line:bigint>" in scans[1]
+    many = anomaly.score_placed(rolling.place(trades.dropna(), "symbol", ["event_time", "seq"]), tasks=37)
+    assert "chunk" in plan(many) and ", 37)" in plan(many)
+    assert rolling.chunk_tasks(spark.range(250_001)) == 3
+
+
+def test_bars_are_built_once_for_moving_averages(trades):
+    from tickloom.plans.staging import stg_ohlcv_1min
+
+    text = plan(fct_realtime_ohlcv(stg_ohlcv_1min(ohlcv(trades, "1 minute"))))
+    assert "min_by" not in text and "window(" not in text
+    assert len([line for line in text.splitlines() if "FileScan" in line]) == 2
+
+
+def test_written_series_can_be_released(spark, trades):
+    from tickloom.session import folder_exists, release_runs, written
+
+    path = written(spark.range(3), "released").inputFiles()[0].rsplit("/", 1)[0]
+    assert folder_exists(spark, path) and release_runs(spark) > 0 and not folder_exists(spark, path)
