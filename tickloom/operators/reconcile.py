@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.rounding import round_half_up
 from tickloom.functions.temporal import on_days
+from tickloom.sinks.tables import drop_dates, replace_dates
 
 # Relative tolerances.
 TOLERANCE = 0.01
@@ -141,6 +143,38 @@ def report(compared: DataFrame, day: dt.date | None = None) -> DataFrame:
     )
 
 
+def summary(compared: DataFrame, day: dt.date | None = None) -> DataFrame:
+    """The report without its list: counts only, however many symbols differ.
+
+    One row per day, or exactly one for ``day``. The list is ``discrepancies``, a table.
+    """
+    rows = compared if day is None else compared.filter(F.col("trade_date") == F.lit(day))
+    grouped = rows.groupBy("trade_date") if day is None else rows.groupBy()
+    high = F.size(F.filter("issues", lambda i: i["severity"] == "HIGH"))
+    agg = grouped.agg(
+        F.count("*").alias("symbols_checked"),
+        F.coalesce(F.sum(F.size("issues")), F.lit(0)).alias("discrepancy_count"),
+        F.coalesce(F.sum(high), F.lit(0)).alias("high_severity_count"),
+    )
+    date = F.col("trade_date") if day is None else F.lit(day)
+    return agg.select(
+        date.alias("reconciliation_date"),
+        F.when(F.col("discrepancy_count") == 0, "PASS").otherwise("FAIL").alias("status"),
+        "symbols_checked",
+        "discrepancy_count",
+        "high_severity_count",
+    )
+
+
+def write_discrepancies(compared: DataFrame, path: str, days: Iterable[dt.date]) -> None:
+    """Replace the dated table's rows of ``days`` by the discrepancies of a comparison."""
+    days = list(days)
+    found = discrepancies(compared).filter(F.col("trade_date").isin(days))
+    clean = set(days) - {r["trade_date"] for r in found.select("trade_date").distinct().collect()}
+    drop_dates(compared.sparkSession, path, clean)
+    replace_dates(found, path)
+
+
 def failure_text(reports: DataFrame) -> DataFrame:
     """The alert text of each day's report."""
     return reports.select(

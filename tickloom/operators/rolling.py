@@ -54,7 +54,7 @@ def place(df: DataFrame, key: str, order: list[str], within: str | None = None,
         matches = matches & lines[column].eqNullSafe(spans[f"span_{column}"])
     placed = lines.join(spans, matches).withColumn(POSITION, F.col("line") + 1 + F.col("position_offset"))
     if within:
-        placed = placed.withColumn(rank_as, F.col("line") + 1 + F.col("rank_offset"))
+        placed = placed.withColumn(rank_as, (F.col("line") + 1 + F.col("rank_offset")).cast("int"))
     return placed.select(*df.columns, POSITION, *([rank_as] if within else []))
 
 

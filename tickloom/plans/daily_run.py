@@ -49,12 +49,14 @@ def reconcile_day(warehouse: Warehouse, day: dt.date) -> None:
         reconcile.batch_side(warehouse.read(RAW_TRADES), day, day),
         reconcile.stream_side(warehouse.read("ohlcv_1min"), day, day),
     )
-    outcome = reconcile.report(compared, day).persist()  # one row, both logged and judged
+    compared = compared.persist()  # one row per symbol, read for the list and for the counts
     try:
+        reconcile.write_discrepancies(compared, warehouse.path("discrepancies"), [day])
+        outcome = reconcile.summary(compared, day)
         append_log(outcome, warehouse.path("reconciliation_log"))
         reconcile.gate(outcome)
     finally:
-        outcome.unpersist()
+        compared.unpersist()
 
 
 def run_day(warehouse: Warehouse, day: dt.date | None = None) -> dict:

@@ -35,6 +35,8 @@ TRADES = """trades AS (
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)
 )"""
 
+_WINDOWS = {"ohlcv_1min": ("1 MINUTE", "1 minute"), "ohlcv_5min": ("5 MINUTES", "5 minutes"), "ohlcv_1hr": ("1 HOUR", "1 hour")}
+
 CORRECTED = """corrected AS (
   SELECT * FROM trades
   UNION ALL
@@ -459,6 +461,21 @@ def all_oracles() -> dict[str, str]:
                WHEN exchange = '1' THEN 'no_price' WHEN price < 10 THEN 'no_event_time' END AS reason FROM trades)
                WHERE reason IS NOT NULL""",
         ),
+        "tick_rejects": _with(
+            [TRADES],
+            """SELECT seq, CAST(NULL AS INTEGER) AS event_index, CASE WHEN price >= 100 THEN 'malformed' WHEN price >= 2 THEN 'kept'
+               ELSE 'empty' END AS reason FROM trades WHERE price >= 1
+               UNION ALL SELECT seq, 0, 'time_out_of_range' FROM trades WHERE price < 1
+               UNION ALL SELECT seq, 1, 'not_a_trade' FROM trades WHERE price < 1 OR price >= 2 AND price < 100""",
+        ),
+        "intraday_refused": _intraday(
+            """SELECT DISTINCT symbol, CAST(window_start AS DATE) AS "day",
+               CASE WHEN symbol = 'error' THEN 'api_error' WHEN symbol = 'signup' THEN 'rate_limited'
+                    WHEN symbol = 'click' AND date_part('day', window_start) % 2 = 0 THEN 'malformed'
+                    WHEN symbol = 'purchase' AND date_part('day', window_start) % 2 = 1 THEN 'no_series'
+                    WHEN symbol = 'view' AND date_part('day', window_start) % 3 = 0 THEN 'empty_series' ELSE 'kept' END AS reason,
+               CASE symbol WHEN 'error' THEN 'Invalid API call' WHEN 'signup' THEN '5 calls per minute' END AS message FROM bars"""
+        ),
         "intraday_rejects": _intraday(
             """SELECT DISTINCT symbol, CAST(window_start AS DATE) AS "day",
                CASE symbol WHEN 'error' THEN 'api_error' ELSE 'rate_limited' END AS reason,
@@ -510,6 +527,7 @@ def all_oracles() -> dict[str, str]:
         "reconcile_stream_side": _with([TRADES, MINUTE_BARS, STREAM_SIDE], "SELECT * FROM stream"),
         "reconcile_discrepancies": _with(RECONCILED, "SELECT * FROM issues"),
         "reconcile_report": _with(RECONCILED, "SELECT * FROM reports"),
+        "reconcile_summary": _with(RECONCILED, "SELECT * FROM reports"),
         "reconcile_details": _with(RECONCILED, "SELECT * RENAME (trade_date AS reconciliation_date) FROM issues"),
         "reconcile_alerts": _with(
             RECONCILED,
@@ -590,6 +608,34 @@ def all_oracles() -> dict[str, str]:
         "stream_raw_trades": _with(
             [TRADES], "SELECT symbol, price, volume, event_time, exchange, CAST(event_time AS DATE) AS trade_date FROM trades"
         ),
+        "stream_speed_layer": _with(
+            [TRADES, *[_bars(name, "trades", width, label) for name, (width, label) in _WINDOWS.items()]],
+            """SELECT 'trades_raw_stream' AS table_name, symbol, CAST(event_time AS DATE) AS trade_date, count(*) AS n_rows,
+               CAST(sum(volume) AS BIGINT) AS volume FROM trades GROUP BY ALL
+               UNION ALL SELECT 'trades_raw_stream', NULL, NULL, count(*), NULL FROM trades WHERE price >= 100 HAVING count(*) > 0
+               UNION ALL SELECT 'trades_rejected', 'malformed', NULL, count(*), NULL FROM trades WHERE price >= 100 HAVING count(*) > 0 """
+            + " ".join(
+                f"""UNION ALL SELECT '{name}', symbol, CAST(window_start AS DATE), count(*), CAST(sum(volume) AS BIGINT) FROM {name}
+                WHERE window_end <= (SELECT max(event_time) - INTERVAL 30 SECONDS FROM trades)
+                GROUP BY symbol, CAST(window_start AS DATE)"""
+                for name in _WINDOWS
+            ),
+        ),
+        "stream_late_rows": _with(
+            [
+                TRADES,
+                _bars("bars", "trades", "1 HOUR", "1 hour"),
+                """edges(low, high) AS (VALUES (TIMESTAMP '2024-01-11', TIMESTAMP '2024-01-21'), (TIMESTAMP '2024-01-21', TIMESTAMP '9999-01-01'))""",
+                """sent AS (SELECT symbol, event_time, volume FROM trades
+                   UNION ALL SELECT symbol, event_time, volume FROM trades, edges WHERE exchange = '0' AND event_time < low - INTERVAL 1 DAY
+                   UNION ALL SELECT symbol, NULL, volume FROM trades, edges WHERE price < 5 AND event_time >= low AND event_time < high)""",
+            ],
+            """SELECT 'raw' AS table_name, symbol, CAST(event_time AS DATE) AS trade_date, count(*) AS n_rows,
+               CAST(sum(volume) AS BIGINT) AS volume FROM sent GROUP BY ALL
+               UNION ALL SELECT 'bars', symbol, CAST(window_start AS DATE), CAST(sum(trade_count) AS BIGINT), CAST(sum(volume) AS BIGINT)
+               FROM bars WHERE window_end <= (SELECT max(event_time) - INTERVAL 30 SECONDS FROM trades)
+               GROUP BY symbol, CAST(window_start AS DATE)""",
+        ),
         "stream_messages_out": _with(
             [TRADES],
             """SELECT symbol AS "key", count(*) AS messages, CAST(sum(volume) AS BIGINT) AS volume

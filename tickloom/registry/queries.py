@@ -16,13 +16,13 @@ from tickloom.plans import dashboards, marts
 from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
 from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min, stg_trades
-from tickloom.schemas import BAR_WINDOWS
+from tickloom.schemas import BAR_WINDOWS, RAW_TRADES
 from tickloom.session import pin_utc, run_dir, stream_session
 from tickloom.sinks.streams import AVAILABLE_NOW, to_message_files, to_table
 from tickloom.sources import events, intraday, messages, ticks
 from tickloom.sources.warehouse import Warehouse
 from tickloom.streaming.anomaly_stream import start_anomaly_stream
-from tickloom.streaming.speed_layer import bar_stream, raw_trades
+from tickloom.streaming.speed_layer import bar_stream, raw_trades, start_speed_layer
 
 AS_OF = dt.date(2024, 1, 15)
 FOLLOWED = "view, click ,purchase"
@@ -126,6 +126,24 @@ def _intraday_rejects(spark, sf_dir):
     return rejected.select("symbol", "day", "reason", "message")
 
 
+@query("tick_rejects")
+def _tick_rejects(spark, sf_dir):
+    """Every tick event and every message without one: kept, or why not."""
+    sent = events.damaged_ticks(_trades(spark, sf_dir))
+    kept = ticks.normalize_ticks(sent, keep=("seq",))
+    kept = kept.select("seq", F.lit(None).cast("int").alias("event_index"), F.lit("kept").alias("reason"))
+    return ticks.rejected_ticks(sent, keep=("seq",)).drop("value").unionByName(kept)
+
+
+@query("intraday_refused")
+def _intraday_refused(spark, sf_dir):
+    """Every response: kept, or why not, with the vendor's message."""
+    sent = events.damaged_responses(_trades(spark, sf_dir))
+    kept = intraday.normalize_intraday(sent).select("symbol", F.to_date("event_time").alias("day")).distinct()
+    kept = kept.select("*", F.lit("kept").alias("reason"), F.lit(None).cast("string").alias("message"))
+    return intraday.refused_responses(sent).drop("payload").unionByName(kept)
+
+
 @query("dedup_seen")
 def _dedup_seen(spark, sf_dir):
     """A poll that returns everything, part of it twice, after trades up to the as-of day landed."""
@@ -256,12 +274,20 @@ def _reconcile_report(spark, sf_dir):
     return reconcile.report(_compared(spark, sf_dir)).drop("details")
 
 
+@query("reconcile_summary")
+def _reconcile_summary(spark, sf_dir):
+    return reconcile.summary(_compared(spark, sf_dir))
+
+
 @query("reconcile_details")
 def _reconcile_details(spark, sf_dir):
-    """What the JSON of the reports lists."""
-    kind = "array<struct<symbol:string,issue:string,severity:string,batch_value:double,stream_value:double,diff_pct:double>>"
-    listed = F.from_json("details", kind)
-    return reconcile.report(_compared(spark, sf_dir)).select("reconciliation_date", F.inline(listed))
+    """The dated table of discrepancies, after all days were written and one of them again."""
+    warehouse = Warehouse(spark, run_dir(spark, "reconcile_details"))
+    path, compared = warehouse.path("discrepancies"), _compared(spark, sf_dir)
+    days = [r["trade_date"] for r in compared.select("trade_date").distinct().collect()]
+    reconcile.write_discrepancies(compared, path, days)
+    reconcile.write_discrepancies(compared.filter(F.col("trade_date") == F.lit(AS_OF)), path, [AS_OF])
+    return warehouse.read("discrepancies").withColumnRenamed("trade_date", "reconciliation_date")
 
 
 @query("reconcile_alerts")
@@ -436,14 +462,23 @@ def _incremental_symbols(spark, sf_dir):
 def _stream_in_landings(spark, sf_dir, folder, start) -> None:
     """Land all trades as message files in three steps of event time, running the query that
     ``start`` makes after each, so it resumes twice from its checkpoint."""
+    def resume(sent):
+        start(messages.decode_trades(sent)).awaitTermination()
+
+    _land(spark, sf_dir, folder, lambda part, low: events.trade_messages(part).select("value"), resume)
+
+
+def _land(spark, sf_dir, folder, messages_of, resume) -> None:
+    """In three steps of event time, land ``messages_of`` the step's trades and the step's first time,
+    then ``resume`` from the folder's messages."""
     session = stream_session(spark, STREAM_PARTITIONS)
     trades = _trades(session, sf_dir)
     edges = [None, *LANDINGS, None]
     for low, high in zip(edges, edges[1:]):
         part = trades if low is None else trades.filter(F.col("event_time") >= F.lit(low).cast("timestamp"))
         part = part if high is None else part.filter(F.col("event_time") < F.lit(high).cast("timestamp"))
-        events.trade_messages(part).select("value").write.mode("append").text(f"{folder}/messages")
-        start(messages.decode_trades(messages.file_messages(session, f"{folder}/messages"))).awaitTermination()
+        messages_of(part, low).write.mode("append").text(f"{folder}/messages")
+        resume(messages.file_messages(session, f"{folder}/messages"))
 
 
 @query("stream_ohlcv_1hr")
@@ -497,6 +532,61 @@ def _stream_raw_trades(spark, sf_dir):
     return table.read("raw").drop("loaded_at")
 
 
+def _per_day(df, table, rows, volume, symbol="symbol"):
+    """Rows and volume of a table by symbol and day."""
+    return df.groupBy(F.lit(table).alias("table_name"), F.col(symbol).alias("symbol"), "trade_date").agg(
+        rows.cast("bigint").alias("n_rows"), volume.cast("bigint").alias("volume")
+    )
+
+
+@query("stream_speed_layer")
+def _stream_speed_layer(spark, sf_dir):
+    """All tables of the speed layer, from one landing of messages, some of them unreadable."""
+    folder = run_dir(spark, "stream_speed_layer")
+    tables = Warehouse(spark, f"{folder}/warehouse")
+
+    def sent(part, low):
+        unreadable = part.filter(F.col("price") >= 100).select(F.lit("{bad").alias("value"))
+        return events.trade_messages(part).select("value").unionByName(unreadable)
+
+    def resume(sent):
+        for running in start_speed_layer(sent, Warehouse(sent.sparkSession, tables.root), f"{folder}/checkpoints", AVAILABLE_NOW).values():
+            running.awaitTermination()
+
+    _land(spark, sf_dir, folder, sent, resume)
+    out = _per_day(tables.read(RAW_TRADES), RAW_TRADES, F.count("*"), F.sum("volume"))
+    for table in BAR_WINDOWS:
+        out = out.unionByName(_per_day(tables.read(table), table, F.count("*"), F.sum("volume")))
+    refused = tables.read("trades_rejected").withColumn("trade_date", F.lit(None).cast("date"))
+    return out.unionByName(_per_day(refused, "trades_rejected", F.count("*"), F.lit(None), "reason"))
+
+
+@query("stream_late_rows")
+def _stream_late_rows(spark, sf_dir):
+    """Landings that go back in time and hold undated trades: in the raw table, not in the bars."""
+    folder = run_dir(spark, "stream_late_rows")
+    tables = Warehouse(spark, f"{folder}/warehouse")
+
+    def sent(part, low):
+        messages_now = events.trade_messages(part).select("value")
+        if low is None:
+            return messages_now
+        earlier = _trades(part.sparkSession, sf_dir).filter(F.col("event_time") < F.expr(f"timestamp'{low}' - interval 1 day"))
+        late = events.trade_messages(earlier.filter("exchange = '0'")).select("value")
+        undated = events.trade_messages(part.filter("price < 5").withColumn("event_time", F.lit(None).cast("timestamp")))
+        return messages_now.unionByName(late).unionByName(undated.select("value"))
+
+    def resume(sent):
+        trades = messages.decode_trades(sent)
+        bars = bar_stream(messages.with_watermark(trades), "1 hour")
+        for df, table in ((bars, "bars"), (raw_trades(trades), "raw")):
+            to_table(df, tables.path(table), f"{folder}/{table}", AVAILABLE_NOW, partition_by="trade_date").awaitTermination()
+
+    _land(spark, sf_dir, folder, sent, resume)
+    raw = _per_day(tables.read("raw"), "raw", F.count("*"), F.sum("volume"))
+    return raw.unionByName(_per_day(tables.read("bars"), "bars", F.sum("trade_count"), F.sum("volume")))
+
+
 @query("stream_messages_out")
 def _stream_messages_out(spark, sf_dir):
     """Trades published again as keyed JSON messages."""

@@ -22,6 +22,8 @@ PUBLISH_TRIGGER = "10 seconds"
 TOPIC_TRADES = "stock.trades"
 TOPIC_ANOMALIES = "stock.anomalies"
 RAW_TRADES = "trades_raw_stream"
+#: Decoded messages, from which the speed layer's queries read.
+LANDED = "messages_landed"
 
 ANOMALY = (
     "symbol string, price double, volume bigint, timestamp string, price_zscore double, volume_zscore double, "

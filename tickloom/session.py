@@ -96,6 +96,11 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(at)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    at, files = _folder(spark, path)
+    files.mkdirs(at)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     at, files = _folder(spark, path)
     files.delete(at, True)

@@ -114,6 +114,26 @@ def tick_messages(trades: DataFrame) -> DataFrame:
     return trades.select("seq", F.to_json(F.array(trade, quote)).alias("value"))
 
 
+def damaged_ticks(trades: DataFrame) -> DataFrame:
+    """Tick arrays of which some are unreadable, empty, or hold a time no timestamp can, by price."""
+    price = F.col("price")
+    far = F.regexp_replace("value", '"t":[0-9]+', '"t":9223372036854775807')
+    value = F.when(price >= 100, F.lit("[{bad")).when(price < 1, far).when(price < 2, F.lit("[]")).otherwise(F.col("value"))
+    whole = tick_messages(trades).join(trades.select("seq", "price"), "seq")
+    return whole.select("seq", value.alias("value"))
+
+
+def damaged_responses(trades: DataFrame) -> DataFrame:
+    """Intraday responses of which some are unreadable or lack bars, by symbol and day of the month."""
+    symbol, day = F.col("symbol"), F.dayofmonth("day")
+    damage = (
+        F.when((symbol == "click") & (day % 2 == 0), F.lit("{bad"))
+        .when((symbol == "purchase") & (day % 2 == 1), F.lit('{"Meta Data": {}}'))
+        .when((symbol == "view") & (day % 3 == 0), F.lit(f'{{"{SERIES_KEY}": {{}}}}'))
+    )
+    return intraday_responses(trades).withColumn("payload", F.coalesce(damage, F.col("payload")))
+
+
 def intraday_responses(trades: DataFrame) -> DataFrame:
     """Vendor intraday responses per symbol and day; at most 1,440 minute bars in each.
 

@@ -62,6 +62,32 @@ def normalize_intraday(responses: DataFrame, ingested_at: Column | None = None)
     )
 
 
+def refused_responses(responses: DataFrame) -> DataFrame:
+    """Every response without a trade, with a reason and, where it has one, its message.
+
+    Beside errors and rate limits: ``malformed`` text, responses without a series (``no_series``),
+    and with one that holds no bar (``empty_series``). Each response is either here or in
+    ``normalize_intraday``.
+    """
+    response = F.col("response")
+    # text that is no JSON object is read as an object of nulls
+    is_object = F.coalesce(F.json_object_keys("payload").isNotNull(), F.lit(False))
+    reason = (
+        F.when(response[ERROR_KEY].isNotNull(), "api_error")
+        .when(response[NOTE_KEY].isNotNull(), "rate_limited")
+        .when(~is_object, "malformed")
+        .when(response[SERIES_KEY].isNull(), "no_series")
+        .when(F.size(response[SERIES_KEY]) == 0, "empty_series")
+    )
+    return (
+        _parsed(responses)
+        .withColumn("reason", reason)
+        .filter(F.col("reason").isNotNull())
+        .withColumn("message", F.coalesce(response[ERROR_KEY], response[NOTE_KEY]))
+        .drop("response")
+    )
+
+
 def rejected_responses(responses: DataFrame) -> DataFrame:
     """Responses that carry an error or a rate-limit note, with kind and message."""
     response = F.col("response")

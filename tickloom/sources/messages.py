@@ -73,6 +73,30 @@ def rejected_messages(messages: DataFrame) -> DataFrame:
     )
 
 
+def landed_messages(messages: DataFrame) -> DataFrame:
+    """Messages read once, for every use of them: the trade's fields, event_time, ``seq``, and of
+    those that are no usable trade the ``reason`` and the text (``rejected_value``).
+    """
+    parsed = messages.select(
+        F.from_json(F.col("value").cast("string"), S.TRADE_MESSAGE).alias("trade"),
+        F.col("value").cast("string").alias("text"),
+        *[F.col("offset").alias("seq") for name in messages.columns if name == "offset"],
+    )
+    typed = parsed.select(
+        "trade.*", F.try_to_timestamp(F.col("trade.timestamp")).alias("event_time"), *[c for c in parsed.columns if c != "trade"]
+    )
+    fields = ("symbol", "price", "volume", "timestamp")
+    reason = (
+        F.when(F.coalesce(*[F.col(f).cast("string") for f in fields]).isNull(), "malformed")
+        .when(F.col("symbol").isNull(), "no_symbol")
+        .when(F.col("price").isNull(), "no_price")
+        .when(F.col("volume").isNull(), "no_volume")
+        .when(F.col("event_time").isNull(), "no_event_time")
+    )
+    judged = typed.withColumn("reason", reason)
+    return judged.withColumn("rejected_value", F.when(F.col("reason").isNotNull(), F.col("text"))).drop("text")
+
+
 def usable_trades(trades: DataFrame) -> DataFrame:
     """Trades that carry every field the scoring and the bars need."""
     return trades.dropna(subset=["symbol", "price", "volume", "event_time"])

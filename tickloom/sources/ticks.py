@@ -11,14 +11,54 @@ from tickloom.functions.temporal import iso_text
 _EVENTS = "array<struct<ev:string,sym:string,p:string,s:string,t:string,x:string,c:string>>"
 
 
+# the milliseconds of the years 1 to 9999
+_FIRST_MS, _LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def _millis(event: Column) -> Column:
+    return event["t"].try_cast("bigint")
+
+
+def _reason(event: Column) -> Column:
+    """Why an event is no trade, null if it is one."""
+    return (
+        F.when(event.isNull(), "not_an_event")
+        .when(F.coalesce(event["ev"], F.lit("")) != "T", "not_a_trade")
+        .when(~F.coalesce(_millis(event).between(_FIRST_MS, _LAST_MS), F.lit(True)), "time_out_of_range")
+    )
+
+
+def rejected_ticks(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """What ``normalize_ticks`` leaves out, each with a reason: ``keep``, event_index, value, reason.
+
+    A message that is no array of events is one row (``malformed``, or ``empty``) without an index;
+    an event that is no trade, or whose time is out of range, is one row with its place in the
+    array. So each event is in one of the two, and each message without events here.
+    """
+    held = F.from_json(F.col("value").cast("string"), _EVENTS)
+    text = F.trim(F.col("value").cast("string"))
+    # text that is no JSON array is read as one event of nulls or none at all
+    broken = F.coalesce(~text.startswith("["), F.lit(True)) | F.col("events").isNull()
+    listed = messages.select(*keep, "value", held.alias("events"))
+    broken_rows = listed.filter(broken | (F.size("events") == 0)).select(
+        *keep, F.lit(None).cast("int").alias("event_index"), F.col("value").cast("string").alias("value"), F.when(broken, "malformed").otherwise("empty").alias("reason")
+    )
+    events = listed.filter(~broken).select(*keep, F.posexplode("events").alias("event_index", "event"))
+    events = events.withColumn("reason", _reason(F.col("event"))).filter(F.col("reason").isNotNull())
+    return events.select(*keep, "event_index", F.to_json("event").alias("value"), "reason").unionByName(broken_rows)
+
+
 def normalize_ticks(messages: DataFrame, ingested_at: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Explode ``value`` (a JSON array) and keep trade events (``ev`` = T), renamed and typed."""
+    """Explode ``value`` (a JSON array) and keep trade events (``ev`` = T), renamed and typed.
+
+    The rest, events whose time no timestamp can hold included, is in ``rejected_ticks``.
+    """
     event = F.col("event")
-    event_time = F.timestamp_millis(event["t"].try_cast("bigint"))
+    event_time = F.timestamp_millis(_millis(event))
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
     return (
         messages.select(*keep, F.explode(F.from_json(F.col("value").cast("string"), _EVENTS)).alias("event"))
-        .filter(event["ev"] == "T")
+        .filter(_reason(event).isNull())
         .select(
             *keep,
             event["sym"].alias("symbol"),

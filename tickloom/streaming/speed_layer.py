@@ -1,4 +1,8 @@
-"""The speed layer: three bar tables and the raw trade table, fed by one message stream."""
+"""The speed layer: three bar tables, the raw trade table and the rejects, fed by one message stream.
+
+The topic is read and decoded once: one query lands the decoded messages in a table, and all
+others stream from it, each at its own pace and from its own checkpoint.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom import schemas as S
 from tickloom.operators.bars import ohlcv
-from tickloom.sinks.streams import to_table
-from tickloom.sources.messages import decode_trades, rejected_messages, with_watermark
+from tickloom.session import make_folder
+from tickloom.sinks.streams import AVAILABLE_NOW, to_table
+from tickloom.sources.messages import landed_messages, with_watermark
 from tickloom.sources.warehouse import Warehouse
 
 
@@ -36,18 +41,41 @@ def raw_trades(trades: DataFrame) -> DataFrame:
     )
 
 
+class SpeedLayer(dict[str, StreamingQuery]):
+    """The queries by their tables; ``landing`` is the one that feeds them."""
+
+    landing: StreamingQuery
+
+
+def landed_stream(landed: DataFrame, path: str) -> DataFrame:
+    """A stream of the landed table, of the schema of ``landed``; it holds what the landing query has committed."""
+    return landed.sparkSession.readStream.schema(landed.schema).parquet(path)
+
+
 def start_speed_layer(
     messages: DataFrame, warehouse: Warehouse, checkpoints: str, trigger: str = S.TABLE_TRIGGER
-) -> dict[str, StreamingQuery]:
-    """Start the four table queries, plus one for rejected messages, each with its checkpoint."""
-    trades = decode_trades(messages)
+) -> SpeedLayer:
+    """Start the landing query and, on the table it writes, the four table queries and one for rejects.
+
+    Each has its own checkpoint. With all that is available, the landing ends before the others begin.
+    """
+    landed = landed_messages(messages)
+    path = warehouse.path(S.LANDED)
+    make_folder(warehouse.spark, path)  # the others may look before anything has landed
+    layer = SpeedLayer()
+    layer.landing = to_table(landed, path, f"{checkpoints}/{S.LANDED}", trigger, name=S.LANDED)
+    if trigger == AVAILABLE_NOW:
+        layer.landing.awaitTermination()
+    trades = landed_stream(landed, path)
     timed = with_watermark(trades)
     outputs = {table: bar_stream(timed, duration) for table, duration in S.BAR_WINDOWS.items()}
     outputs[S.RAW_TRADES] = raw_trades(trades)
     dated = list(outputs)
-    outputs["trades_rejected"] = rejected_messages(messages)
-    return {
-        table: to_table(
+    kept = [c for c in ("seq",) if c in trades.columns]
+    rejected = trades.filter(F.col("reason").isNotNull())
+    outputs["trades_rejected"] = rejected.select(*kept, F.col("rejected_value").alias("value"), "reason")
+    for table, df in outputs.items():
+        layer[table] = to_table(
             df,
             warehouse.path(table),
             f"{checkpoints}/{table}",
@@ -55,5 +83,4 @@ def start_speed_layer(
             partition_by="trade_date" if table in dated else None,
             name=table,
         )
-        for table, df in outputs.items()
-    }
+    return layer
