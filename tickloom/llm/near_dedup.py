@@ -8,15 +8,20 @@ earliest dart. Two documents agree in a coordinate with a probability equal to t
 Jaccard similarity of their multisets. Coordinates no dart has reached are filled by raising
 the limit. Bands of coordinates are buckets.
 
-Links are found in three rounds, which together leave no two members of a bucket uncompared
-unless they are in one component already. The hub of a bucket is its member with the largest
-buckets. Every member is compared with the first hub of its buckets, then with each of its
-buckets' hubs not in its component, at last with every member of its buckets not in its
-component. The first two rounds only keep the third small: a text with many copies is the hub of
-its buckets, whatever its id. A pair is compared once however many buckets it shares, and not at
-all if its texts' lengths rule the similarity out. Comparisons are exact (shingles of both
-texts) and spread by bytes of text, so no group is ever in one task; a bucket of many members
-unlike one another takes a comparison for each pair of them.
+Links are found in rounds. The hub of a bucket is its member with the largest buckets. Every
+member is compared with the first hub of its buckets, then with each of its buckets' hubs not in
+its component: a text with many copies is the hub of its buckets, whatever its id. Members of
+buckets that still hold several components get a sketch, a second signature of ``SKETCH``
+independent coordinates of a byte each. Tasks compare the sketches of a bucket, in slices of
+bounded size, and let go a pair only if it is not in one component and agrees in so many coordinates
+that a similarity of 0.8 is within three deviations; of two components the ``CLOSEST`` such pairs
+first, then, of components these have not linked, all of them. So pairs leave a task in proportion to
+the texts that are alike, not to the square of a bucket: of texts 0.7 alike about one pair in a
+hundred, of texts 0.6 alike none.
+
+A pair is compared once however many buckets it shares, and not at all if its texts' lengths rule
+the similarity out. Comparisons are exact (shingles of both texts) and spread by bytes and rows, so
+no group is ever in one task.
 """
 
 from __future__ import annotations
@@ -37,10 +42,17 @@ BANDS = 26
 ROWS = 5
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
-#: Node numbers of documents without an id start here; real ids lie below.
-NO_ID = 1 << 62
-#: Text of members that one task compares with a leader.
+#: Class numbers of rows without words start here; numbers of texts lie below.
+ALONE = 1 << 62
+#: Text and number of members that one task compares with a leader.
 VERIFY_BYTES = 1_000_000
+VERIFY_ROWS = 200
+#: Coordinates of a sketch, its darts, and the members of a bucket that are compared with as many others at once.
+SKETCH = 512
+SKETCH_DARTS = SKETCH * (np.log(SKETCH) + 2)
+SLICE = 1_000
+#: Pairs of two components that a task lets go at first.
+CLOSEST = 8
 #: Candidates whose node numbers (8 bytes each) are broadcast to where the texts are read, so that
 #: other texts stay there; with more candidates all texts are shuffled once. The result is the same.
 BROADCAST_CANDIDATES = 4_000_000
@@ -178,7 +190,8 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     A leader with many members is copied, with a share of the members each.
     """
-    copies = pairs.groupBy("leader").agg(F.ceil(F.sum("n_bytes") / VERIFY_BYTES).cast("int").alias("n_copies"))
+    tasks = F.greatest(F.ceil(F.sum("n_bytes") / VERIFY_BYTES), F.ceil(F.count("*") / VERIFY_ROWS))
+    copies = pairs.groupBy("leader").agg(tasks.cast("int").alias("n_copies"))
     copies = materialise(copies, "leaders")
     copy = F.pmod(F.xxhash64("node"), F.greatest(F.col("n_copies"), F.lit(1))).cast("int").alias("copy")
     members = pairs.join(copies, "leader").select("leader", copy, F.lit(1).alias("role"), "node")
@@ -234,34 +247,139 @@ def _open_members(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Data
     return parts, materialise(placed.join(mixed, "bucket"), "placed")
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for some in batches_of_bytes(batch, "text", 1_500_000):
+            units, texts = regions(*shingles(normal_words(some.column("text"))))
+            names = dart_signatures(mix(units ^ np.uint64(SKETCH)), texts, some.num_rows, SKETCH, SKETCH_DARTS)
+            low = (mix(names) & np.uint64(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([some.column("node"), pa.array([row.tobytes() for row in low], pa.binary())], ["node", "sketch"])
+
+
+def least_agreement(least: float) -> int:
+    """Coordinates of a sketch in which texts as alike as ``least`` agree but for three deviations; a byte agrees by chance, too."""
+    agree = least + (1 - least) / 256
+    return int(SKETCH * agree - 3 * (SKETCH * agree * (1 - agree)) ** 0.5)
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of each combination of ``keys``, which come one after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], axis=1)
+        starts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()] if len(values) else []
+        for start, end in zip(starts, [*starts[1:], len(values)]):
+            key = tuple(values[start].tolist())
+            if key != last and held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _agreeing(least: float, most: int | None):
+    """Pairs of a bucket's slices whose sketches agree enough; of two components the ``most`` that agree best."""
+    wanted = least_agreement(least)
+
+    def pairs_of(group: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        column = {c: group.column(c).to_numpy(zero_copy_only=False) for c in ("role", "node", "component", "n_shingles", "outside")}
+        sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(group.num_rows, SKETCH)
+        mine, others = np.flatnonzero(column["role"] == 0), np.flatnonzero(column["role"] == 1)
+        sizes = column["n_shingles"][others].astype(float)
+        a, b, agreed = [], [], []
+        for x in mine.tolist():
+            apart = (column["component"][others] != column["component"][x]) & (~column["outside"][others] | (column["node"][others] > column["node"][x]))
+            size = float(column["n_shingles"][x])
+            there = others[apart & (np.minimum(sizes, size) >= least * np.maximum(sizes, size))]
+            if not len(there):
+                continue
+            same = (sketch[there] == sketch[x]).sum(axis=1)
+            keep = same >= wanted
+            a.append(np.full(int(keep.sum()), x))
+            b.append(there[keep])
+            agreed.append(same[keep])
+        if not a:
+            return np.zeros(0, int), np.zeros(0, int)
+        a, b, agreed = (np.concatenate(x) for x in (a, b, agreed))
+        if most is not None and len(a):
+            low, high = (f(column["component"][a], column["component"][b]) for f in (np.minimum, np.maximum))
+            order = np.lexsort((-agreed, high, low))
+            low, high = low[order], high[order]
+            new = np.ones(len(order), bool)
+            new[1:] = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            begin = np.flatnonzero(new)
+            place = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+            a, b = a[order][place < most], b[order][place < most]
+        return a, b
+
+    def agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches, ["bucket", "i", "j"]):
+            a, b = pairs_of(group)
+            if len(a):
+                left, right = group.take(pa.array(a)), group.take(pa.array(b))
+                columns = [left.column("node"), left.column("n_shingles"), left.column("n_bytes"), right.column("node"), right.column("n_shingles"), right.column("n_bytes")]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n_shingles", "bytes_a", "head", "its", "bytes_b"])
+
+    return agreeing
+
+
+def _close_pairs(placed: DataFrame, sketches: DataFrame, least: float, most: int | None) -> DataFrame:
+    """Pairs in different components whose sketches agree, for ``_pairs``.
+
+    Members outside their bucket's largest component are compared with all members, slice by slice:
+    of two members in different components one at least is such.
+    """
+    outside = F.col("component") != F.col("largest")
+    slices = lambda n: F.ceil(n / SLICE).cast("int")
+    sizes = placed.groupBy("bucket").agg(slices(F.count(F.when(outside, 1))).alias("si"), slices(F.count("*")).alias("sj"))
+    sized = placed.withColumn("outside", outside).join(sizes, "bucket")
+    own = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    numbers = lambda n: F.sequence(F.lit(0), n - 1)
+    entry = lambda i, j, role: F.struct(i.alias("i"), j.alias("j"), F.lit(role).alias("role"))
+    # the slice of a number taken once, as a column
+    sized = sized.withColumn("own_i", own(F.col("si"))).withColumn("own_j", own(F.col("sj")))
+    first = F.when(F.col("outside"), F.transform(numbers(F.col("sj")), lambda j: entry(F.col("own_i"), j, 0)))
+    second = F.transform(numbers(F.col("si")), lambda i: entry(i, F.col("own_j"), 1))
+    none = F.array().cast("array<struct<i:int,j:int,role:int>>")
+    dealt = sized.select("bucket", "node", "component", "outside", "n_shingles", "n_bytes", F.explode(F.concat(F.coalesce(first, none), second)).alias("e"))
+    dealt = dealt.select("bucket", "e.*", "node", "component", "outside", "n_shingles", "n_bytes").join(sketches, "node")
+    in_order = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    found = in_order.mapInArrow(_agreeing(least, most), "node long, n_shingles long, bytes_a long, head long, its long, bytes_b long")
+    return found.withColumn("n_bytes", F.greatest("bytes_a", "bytes_b"))
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Class of every row of ``docs`` (doc_id, text): doc_id, text_key, class_id, class_node.
 
     Rows are in one class if a chain of pairs with a weighted Jaccard similarity of ``least``
     links them; class_id is the smallest id in the class. Texts with the same words are
     copies. Rows without words are alone; rows that share an id are judged by their texts,
-    but texts whose smallest id is the same are one node; a null id is never the smallest,
-    and class_id is null in a class without ids; no rows give no rows.
-    ``class_node`` names the class also where class_id is null.
+    whatever the id; a null id is never the smallest, and class_id is null in a class without
+    ids; no rows give no rows. ``class_node`` tells classes apart that share a class_id.
     """
     signed = materialise(signatures(docs), "signatures")
-    own = F.coalesce("doc_id", F.lit(NO_ID) + F.call_function("shiftrightunsigned", F.col("text_key"), F.lit(3)))
     with_words = signed.where(F.size("bands") > 0)
-    first = F.min(F.struct(own.alias("node"), "doc_id", "text_key", "n_bytes", "n_shingles")).alias("rep")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n_bytes", "n_shingles")).alias("rep")
     copies = with_words.groupBy("fp1", "fp2").agg(first, F.first("bands").alias("bands"))
-    reps = materialise(copies.select("fp1", "fp2", "rep.*", "bands"), "representatives")
+    # numbers of the texts, fixed as they are written
+    reps = materialise(copies.select("fp1", "fp2", "rep.*", "bands", F.monotonically_increasing_id().alias("node")), "representatives")
 
     buckets = reps.select("node", "n_bytes", "n_shingles", F.explode("bands").alias("bucket"))
     shared = materialise(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = materialise(buckets.join(shared, "bucket"), "members")
     nodes = members.select("node").distinct()
-    chosen = materialise(reps.join(nodes, "node").select("node", "text_key"), "chosen")
+    # ids as keys that are never null
+    key = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))).alias("id")
+    chosen = materialise(reps.join(nodes, "node").select("node", "text_key", key), "chosen")
     # the join and the removal of repeated rows go by the same keys, in one shuffle
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
-    keyed = keyed.select(own.alias("node"), "text_key", "text")
+    keyed = keyed.select(key, "text_key", "text")
     if chosen.count() <= BROADCAST_CANDIDATES:
-        keyed = keyed.join(F.broadcast(chosen.select("node")), "node", "left_semi")
-    wanted = keyed.join(chosen, ["node", "text_key"]).dropDuplicates(["node", "text_key"])
+        keyed = keyed.join(F.broadcast(chosen.select("text_key")), "text_key", "left_semi")
+    wanted = keyed.join(chosen, ["id", "text_key"]).dropDuplicates(["id", "text_key"])
     texts = materialise(wanted.select("node", "text"), "texts")
 
     scores = members.groupBy("node").agg(F.sum("n").alias("score"))
@@ -280,26 +398,25 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     more = materialise(verified(fresh, texts, least), "links")
     tried, links = tried.unionByName(fresh), links.unionByName(more)
 
-    # of two members in different components, one at least is outside the bucket's largest component
-    parts, placed = _open_members(members, links)
-    outside = placed.where("component <> largest").select(
-        "bucket", F.col("node").alias("head"), F.col("component").alias("other"), F.col("n_shingles").alias("its")
-    )
-    met = placed.join(outside, "bucket").where("component <> other AND (component = largest OR node < head)")
-    rest = materialise(_pairs(met, least).join(tried.select("low", "high"), ["low", "high"], "left_anti"), "pairs")
-    more = materialise(verified(rest, texts, least), "links")
-    if not more.isEmpty():
-        parts = components(links.unionByName(more))
-
-    to_node = reps.select("fp1", "fp2", "node")
-    classed = (
-        with_words.join(to_node, ["fp1", "fp2"])
-        .join(parts, "node", "left")
-        .select("doc_id", "text_key", F.coalesce("component", "node").alias("class_node"))
-    )
-    alone = signed.where(F.size("bands") == 0).select("doc_id", "text_key", own.alias("class_node"))
-    class_id = F.when(F.col("class_node") < NO_ID, F.col("class_node"))
-    return classed.unionByName(alone).select("doc_id", "text_key", class_id.alias("class_id"), "class_node")
+    _, placed = _open_members(members, links)
+    sketches = materialise(texts.join(placed.select("node").distinct(), "node", "left_semi").mapInArrow(_sketch, "node long, sketch binary"), "sketches")
+    for most in (CLOSEST, None):
+        close = _pairs(_close_pairs(placed, sketches, least, most), least)
+        close = materialise(close.join(tried.select("low", "high"), ["low", "high"], "left_anti"), "pairs")
+        more = materialise(verified(close, texts, least), "links")
+        tried, links = tried.unionByName(close), links.unionByName(more)
+        if most is not None:
+            _, placed = _open_members(members, links)
+    parts = components(links)
+
+    named = reps.select("fp1", "fp2", "node", "doc_id").join(parts, "node", "left")
+    named = materialise(named.select("fp1", "fp2", "doc_id", F.coalesce("component", "node").alias("class_node")), "classes")
+    smallest = named.groupBy("class_node").agg(F.min("doc_id").alias("class_id"))
+    to_class = named.join(smallest, "class_node").select("fp1", "fp2", "class_id", "class_node")
+    classed = with_words.join(to_class, ["fp1", "fp2"]).select("doc_id", "text_key", "class_id", "class_node")
+    number = F.lit(ALONE) + F.monotonically_increasing_id()
+    alone = signed.where(F.size("bands") == 0).select("doc_id", "text_key", F.col("doc_id").alias("class_id"), number.alias("class_node"))
+    return classed.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
