@@ -221,6 +221,21 @@ def _overlaps(docs: DataFrame, parts: list[Broadcast], window: int) -> DataFrame
     )
 
 
+def uncontaminated_rows(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_BENCHMARK_BYTES) -> DataFrame:
+    """The rows and columns of ``docs`` (text) whose own text has no window of the benchmark.
+
+    Each row is judged by itself, whatever its id, where it is read: nothing is shuffled. Null
+    and empty texts stay, an empty benchmark keeps all.
+    """
+    scanned = _scanned(_broadcast(docs.sparkSession, benchmark, most), window, "text")
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in scanned(batches):
+            yield batch.filter(pa.array([not runs for _, _, runs, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most: int = MAX_BENCHMARK_BYTES) -> DataFrame:
     """The rows and columns of ``docs`` whose text has no window of the benchmark.
 

@@ -232,9 +232,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return done
 
 
-def _cutter(path: str, end_id: int, capacity: int, with_ids: bool):
+def _cutter(path: str, end_id: int, capacity: int, with_ids: bool, special: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder(path)
+        tokenizer = encoder(path, special)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
             for some in batches_of_bytes(batch, "text", 4_000_000):
@@ -258,24 +258,29 @@ def _cutter(path: str, end_id: int, capacity: int, with_ids: bool):
     return cut
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False, special: bool = False
+) -> DataFrame:
     """Pieces of every row of ``docs`` (doc_id, text): key, doc_id, piece, start, length, ids_crc32[, ids].
 
     A document's ids and the end id, cut into pieces of ``capacity`` if longer, of which the
-    first may be shorter. Keys are unique numbers of the run.
+    first may be shorter. Keys are unique numbers of the run. ``special``: the spelling of a special
+    token in a text is that token, as is the library's default; else it is plain text.
     """
     schema = "key long, doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return texts.mapInArrow(_cutter(tokenizer_path, end_id, capacity, with_ids), schema)
+    return texts.mapInArrow(_cutter(tokenizer_path, end_id, capacity, with_ids, special), schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False, special: bool = False
+) -> DataFrame:
     """``token_pieces`` of all documents with sequence_id and offset.
 
     Null and empty texts are the end id alone; rows with equal or null ids are packed as
     documents of their own; no rows give no rows; other columns are ignored. Texts and ids
     are not shuffled: only keys and lengths are, to be packed.
     """
-    pieces = materialise(token_pieces(docs, tokenizer_path, end_id, capacity, with_ids), "pieces")
+    pieces = materialise(token_pieces(docs, tokenizer_path, end_id, capacity, with_ids, special), "pieces")
     places = pack(pieces.select("key", F.col("length").cast("int").alias("length")), capacity)
     return pieces.join(places, "key").drop("key")

@@ -23,6 +23,8 @@ from tickloom.llm.common import WHITE_SPACE, bind, materialise
 SYMBOLS = "#*$%&|<>"
 RISK = 0.02
 DELTA = 0.05
+#: Labelled ids (8 bytes each) that are broadcast to where the texts are read.
+BROADCAST_LABELS = 4_000_000
 #: Rule: (figure, cutoffs from mild to strict). A document is rejected above the cutoff.
 RULES = {
     "symbols": ("symbols_per_word", [2.0, 1.0, 0.7, 0.5, 0.3, 0.2, 0.1, 0.05]),
@@ -119,12 +121,15 @@ def certify(counts: DataFrame, labels: DataFrame, stratum: str, risk: float = RI
     """Cutoffs chosen per stratum and rule: (stratum, rule, cutoff), certified ones only.
 
     ``counts`` has doc_id, the stratum, the counts; ``labels`` has doc_id and quality (1 good,
-    0 bad, null unknown). A document labelled twice is good if one label says so. Among
-    certified cutoffs the one that rejects most bad documents is chosen, the mildest of equals.
+    0 bad, null unknown). A document labelled twice is good if one label says so. A trial is a
+    document: rows that repeat it, with the same id and (by ``text_key``, its hash, or else by the
+    counts) the same text, count once. Among certified cutoffs the one that rejects most bad
+    documents is chosen, the mildest of equals.
     """
     share = risk / len(RULES)
     judged = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    holdout = counts.where(~F.col("base_failed")).join(judged, "doc_id")
+    same = ["doc_id", stratum, "text_key"] if "text_key" in counts.columns else ["doc_id", stratum, *COUNTS]
+    holdout = counts.where(~F.col("base_failed")).join(judged, "doc_id").dropDuplicates(same)
     grid = F.explode(
         F.array(
             *[
@@ -145,13 +150,12 @@ def certify(counts: DataFrame, labels: DataFrame, stratum: str, risk: float = RI
             F.count(F.when(~good & F.col("out"), 1)).alias("bad_out"),
         )
     )
+    tried = materialise(tried, "quality-trials")  # some thirty rows a stratum
+    n_strata = tried.select("stratum").distinct().count()
     tests = tried.withColumn("p_value", binomial_p_value(F.col("good_out"), F.col("n_good"), share))
-    named = F.coalesce(F.concat(F.lit("="), F.col("stratum")), F.lit(""))
-    everything = W.partitionBy(F.lit(0))  # of some thirty rows a stratum
     in_order = W.partitionBy("stratum", "rule").orderBy("step").rowsBetween(W.unboundedPreceding, 0)
     passed = (
-        tests.withColumn("n_strata", F.size(F.collect_set(named).over(everything)))
-        .withColumn("ok", F.col("p_value") <= F.lit(delta / len(RULES)) / F.col("n_strata"))
+        tests.withColumn("ok", F.col("p_value") <= F.lit(delta / len(RULES) / max(n_strata, 1)))
         .withColumn("certified", F.min("ok").over(in_order))
         .where("certified AND bad_out > 0")
     )
@@ -167,7 +171,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     no words and fail the base; repeated rows are judged alike; no labels certify nothing.
     Other columns are ignored. The text is read once: counts are written and reread.
     """
-    narrow = docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text")
+    narrow = docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text", F.xxhash64("text").alias("text_key"))
     counts = materialise(text_counts(narrow).drop("text"), "quality-counts")
     chosen = certify(counts, labels.select("doc_id", "quality"), "stratum", risk, delta)
     # a row per stratum: as many rows as there are strata
@@ -185,11 +189,16 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
 def filter_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows and columns of ``docs`` that ``judge`` keeps.
 
-    The cutoffs come from one pass over all rows; a second pass applies them in place, so
-    that no text is shuffled. What holds for ``judge`` holds here.
+    The cutoffs come from one pass that counts labelled documents only; a second pass over all
+    rows applies them in place. Texts stay where they are, unless labels are too many to be
+    broadcast: then texts are shuffled once, to their labels. What holds for ``judge`` holds here.
     """
     names = docs.columns
-    counts = materialise(text_counts(docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text")).drop("text"), "quality-counts")
+    labelled = materialise(labels.where("quality IS NOT NULL").select("doc_id").distinct(), "labelled")
+    if labelled.count() <= BROADCAST_LABELS:
+        labelled = F.broadcast(labelled)
+    narrow = docs.select("doc_id", F.col(stratum).cast("string").alias("stratum"), "text", F.xxhash64("text").alias("text_key"))
+    counts = materialise(text_counts(narrow.join(labelled, "doc_id", "left_semi")).drop("text"), "quality-counts")
     chosen = materialise(certify(counts, labels.select("doc_id", "quality"), "stratum"), "quality-cutoffs")
     cuts = chosen.groupBy("stratum").agg(
         *[F.min(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES]

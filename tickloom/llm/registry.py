@@ -34,7 +34,7 @@ def op1_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_grouping_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, special=True)
 
 
 def op3_benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "token-files")
-    token_file.write_token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, folder)
+    token_file.write_token_files(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, folder, special=True)
     return token_file.read_documents(spark, folder)
 
 

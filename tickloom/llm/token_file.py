@@ -120,9 +120,9 @@ def decode_block(payload: bytes, starts: np.ndarray, block: int) -> np.ndarray:
     return decode_blocks(payload[a:b], np.array([0, b - a]))
 
 
-def _writer(path: str, end_id: int):
+def _writer(path: str, end_id: int, special: bool):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = encoder(path)
+        tokenizer = encoder(path, special)
         shard, segment = TaskContext.get().partitionId(), 0
         for batch in batches:
             for some in batches_of_bytes(batch, "text", SEGMENT_BYTES):
@@ -147,16 +147,18 @@ def _writer(path: str, end_id: int):
     return write
 
 
-def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str) -> None:
+def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, special: bool = False) -> None:
     """Encode ``docs`` (doc_id, text) in ascending doc_id order into segment rows at ``folder``.
 
     Null ids come first; rows with equal ids are ordered by a hash of the text, and equal rows
     stand one after the other; a null text has the end id only; no rows give an empty table.
+    ``special``: the spelling of a special token in a text is that token, as is the library's
+    default; else it is plain text.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc()]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    sorted_rows.mapInArrow(_writer(tokenizer_path, end_id), SEGMENT_SCHEMA).write.parquet(folder)
+    sorted_rows.mapInArrow(_writer(tokenizer_path, end_id, special), SEGMENT_SCHEMA).write.parquet(folder)
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,8 @@
 
 The tokenizers here never merge across a space or line break that stands between two
 plain characters, so a text is cut there and its pieces encoded by themselves. A text with
-anything else next to a space or line break (a second one, say) is encoded as a whole.
+anything else next to a space or line break (a second one, say) is encoded as a whole. So
+is, if special tokens count as such, a text that holds the spelling of one.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ import pyarrow.compute as pc
 
 from tickloom.llm.common import per_worker
 
-#: Words kept with their ids in a worker; beyond that, it starts over.
+#: Words kept with their ids in a worker; beyond that, those that only one batch held go.
 CACHE_WORDS = 1_000_000
 #: A word that starts and ends with printable ASCII, a letter, a digit or "_".
 PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
@@ -36,12 +38,15 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder:
     """A tokenizer file with a cache of words. ``encode`` gives ids and counts for a column of texts."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special: bool = False) -> None:
+        """``special``: the spelling of a special token in a text is that token, as is the library's default."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.marked = [t.content for t in added] if special else [t.content for t in added if not t.special]
         self.letters = _byte_letters()
         self.break_ids = self.whole(["\n"])[0]
         # does the space before a word belong to it, and are letters lowered?
@@ -56,6 +61,20 @@ class WordEncoder:
         self.pool = np.zeros(0, np.uint32)
         self.begin = np.zeros(1, np.int64)  # place 0 holds no ids: for words that aren't looked up
         self.length = np.zeros(1, np.int64)
+        self.uses = np.zeros(1, np.uint8)  # batches that held a word, up to 2
+
+    def _forget(self) -> None:
+        """Keep the words that several batches held, and their ids."""
+        kept = self.uses > 1
+        kept[0] = True
+        moved = np.cumsum(kept) - 1
+        self.pool = _gather(self.pool, self.begin[kept], self.length[kept])
+        self.length = self.length[kept]
+        self.begin = np.cumsum(self.length) - self.length
+        self.uses = np.minimum(self.uses[kept], 1)
+        stays, to = kept.tolist(), moved.tolist()
+        self.places = tuple({w: to[p] for w, p in held.items() if p > 0 and stays[p]} for held in self.places)
+        self.units = ({}, {})
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -109,6 +128,7 @@ class WordEncoder:
             places[word] = at
             at += 1
         sizes = np.array(length, np.int64)
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.uint8)])
         self.begin = np.concatenate([self.begin, np.cumsum(sizes) - sizes + len(self.pool)])
         self.length = np.concatenate([self.length, sizes])
         self.pool = np.concatenate([self.pool, np.array(flat, np.uint32)])
@@ -120,12 +140,17 @@ class WordEncoder:
         if None in found:
             self._learn([w for w, p in zip(words, found) if p is None], after_space)
             found = list(map(self.places[after_space].get, words))
-        return np.array(found, np.int64)
+        places = np.array(found, np.int64)
+        used = np.maximum(places, 0)  # each place once, but for 0
+        self.uses[used] = np.minimum(self.uses[used] + 1, 2)
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many each text has. Null is empty."""
         if len(self.begin) > CACHE_WORDS:
-            self._clear()
+            self._forget()
+            if len(self.begin) > CACHE_WORDS // 2:
+                self._clear()
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         lines = pc.split_pattern(texts, "\n")
         line_words = pc.split_pattern(lines.values, " ")
@@ -138,22 +163,26 @@ class WordEncoder:
         breaks[word_at[line_at[:-1]]] = False
         coded = line_words.values.dictionary_encode()
         index = coded.indices.to_numpy()
-        distinct = np.array(coded.dictionary.to_pylist(), dtype=object)
-        place = np.empty(len(index), np.int64)
+        distinct = coded.dictionary.to_pylist()
         # a word with no space of its own has the same ids everywhere
-        for after_space in (True, False) if self.spaced else (False,):
-            here = leads != after_space if self.spaced else np.ones(len(index), bool)
-            used = np.zeros(len(distinct), bool)
-            used[index[here]] = True
-            table = np.full(len(distinct), -1, np.int64)
-            table[used] = self._look_up(distinct[used].tolist(), after_space)
-            place[here] = table[index[here]]
+        if self.spaced:
+            index = index + leads * np.int32(len(distinct))
+        used = np.zeros(2 * len(distinct), bool)
+        used[index] = True
+        table = np.full(2 * len(distinct), -1, np.int64)
+        for half, after_space in enumerate((True, False) if self.spaced else (False,)):
+            here = slice(half * len(distinct), (half + 1) * len(distinct))
+            table[here][used[here]] = self._look_up(list(compress(distinct, used[here].tolist())), after_space)
+        place = table[index]
         text_at = word_at[line_at]  # words of a text
         plain = place >= 0
-        begin, length = self.begin[place * plain], self.length[place * plain] * plain
+        place = np.maximum(place, 0)
+        begin, length = self.begin[place], self.length[place]
         counts = _sums(length + breaks * len(self.break_ids), text_at)
         odd = np.zeros(len(texts), bool)
-        odd[np.repeat(np.arange(len(texts)), np.diff(text_at))[~plain]] = True
+        odd[np.searchsorted(text_at, np.flatnonzero(~plain), "right") - 1] = True
+        for spelling in self.marked:
+            odd |= pc.match_substring(texts, spelling, ignore_case=True).to_numpy(zero_copy_only=False)
         ids = _gather(self.pool, begin, length)
         if len(self.break_ids):
             ids = np.insert(ids, np.repeat((np.cumsum(length) - length)[breaks], len(self.break_ids)), np.tile(self.break_ids, int(breaks.sum())))
@@ -180,8 +209,8 @@ def _sums(length: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.diff(total[at])
 
 
-def encoder(path: str) -> WordEncoder:
-    return per_worker(("encoder", path), lambda: WordEncoder(path))
+def encoder(path: str, special: bool = False) -> WordEncoder:
+    return per_worker(("encoder", path, special), lambda: WordEncoder(path, special))
 
 
 def token_runs(ids: np.ndarray, counts: np.ndarray, end_id: int) -> Iterator[np.ndarray]:
