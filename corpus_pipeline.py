@@ -31,13 +31,13 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of the benchmark."""
-    return decontamination.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
+    """Documents without a window of the benchmark, each judged by its own text."""
+    return decontamination.uncontaminated_rows(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 1024 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), 2, special=True)
 
 
 STAGES = [
