@@ -150,3 +150,9 @@ def test_bars_without_a_symbol_are_kept(spark, trades_of):
     bars = bars_of(trades_of, [1, 2, 3]).withColumn("symbol", F.lit(None).cast("string"))
     kept = fct_realtime_ohlcv(bars.unionByName(bars_of(trades_of, [4]))).orderBy("symbol", "window_start").collect()
     assert [(r.symbol, r.sma_20) for r in kept] == [(None, 1.0), (None, 1.5), (None, 2.0), ("A", 4.0)]
+
+
+def test_extreme_prices_stop_no_bar(spark, trades_of):
+    trades = trades_of([("A", p, 1, 0) for p in (1e13, -1e300, 5.0, float("inf"))]).drop("seq")
+    (bar,) = ohlcv(trades, "1 minute").collect()
+    assert (bar.trade_count, bar.open, bar.low) == (4, -1e300, -1e300)
