@@ -1,4 +1,4 @@
-"""Contracts that rows which repeat, share an id or look special must not break."""
+"""Contracts that rows which repeat, share an id or look special must not break; large groups of texts a little too unlike."""
 
 import collections
 import random
@@ -10,7 +10,7 @@ import pytest
 from conftest import SF
 
 import corpus_pipeline
-from tickloom.llm import packing, quality, registry, token_file, tokens
+from tickloom.llm import near_dedup, packing, quality, registry, token_file, tokens
 from tickloom.session import run_dir
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -89,6 +89,74 @@ def test_the_pipeline_keeps_clean_rows_that_share_an_id(spark, tmp_path):
     unlike = [" ".join(f"{name}{i}" for i in range(60)) for name in "abc"]
     rows = [(1, unlike[0]), (1, unlike[1]), (None, unlike[2]), (1, "x " + passage), (None, passage), (2, unlike[0] + " more"), (None, None), (1, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["text"] for r in corpus_pipeline.near_dedup_stage(spark, docs, str(tmp_path)).collect()}
+    assert kept == {*unlike, "x " + passage, None, ""} or kept == {*unlike, passage, None, ""}
     clean = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
     assert clean.columns == docs.columns
     assert collections.Counter(r["text"] for r in clean.collect()) == collections.Counter(t for _, t in rows if passage not in (t or ""))
+
+
+def _edited(rng, source, step, changes, name):
+    words = list(source)
+    for at in rng.sample(range(step, len(words) - step, step), changes):
+        words[at] = f"{name}x{at}"
+    return words
+
+
+def test_links_amid_thousands_of_texts_a_little_too_unlike(spark, monkeypatch):
+    """Copies some 0.66 alike, among them pairs of near copies; rows compared stay in proportion to the texts."""
+    rng = random.Random(12)
+    source = [f"w{i}" for i in range(300)]
+    texts, near = [], []
+    for i in range(5000):
+        words = _edited(rng, source, 6, 6, f"own{i}")
+        texts.append(" ".join(words))
+        if i % 50 == 0:
+            words[rng.choice(range(3, 294, 6))] = f"near{i}"
+            near.append((len(texts) - 1, len(texts)))
+            texts.append(" ".join(words))
+    asked = []
+    written = near_dedup.materialise
+
+    def counted(df, name):
+        out = written(df, name)
+        if name in ("pairs", "links"):
+            asked.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialise", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert all(got[b] == a == got[a] for a, b in near)
+    assert len(set(got.values())) == 5000
+    assert sum(asked) < 30 * len(texts)
+
+
+@pytest.mark.parametrize("slice_rows", [1000, 7])
+def test_cells_link_what_brute_force_links(spark, monkeypatch, slice_rows):
+    """One bucket of texts around the threshold, some in components already, in one cell and in many."""
+    monkeypatch.setattr(near_dedup, "SLICE_ROWS", slice_rows)
+    rng = random.Random(5)
+    sources = [[f"{c}{i % 90}" for i in range(120)] for c in "abc"]  # words, and shingles, that repeat
+    texts = [" ".join(_edited(rng, rng.choice(sources), 5, rng.randint(0, 4), f"own{i}")) for i in range(60)] + ["", "one two"]
+    component = [i - i % 2 if i < 20 else i for i in range(len(texts))]
+    rows = [(9, i, len(t), 100, component[i], 0) for i, t in enumerate(texts)]
+    placed = spark.createDataFrame(rows, "bucket long, node long, n_bytes long, n_shingles long, component long, largest long")
+    held = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    links = [(r["a"], r["b"]) for r in near_dedup._cell_links(placed, held, 0.8).collect()]
+    sets = [near_dedup._multiset(t) for t in texts]
+    alike = [(a, b) for a in range(len(texts)) for b in range(a) if near_dedup.weighted_jaccard(sets[a], sets[b]) >= 0.8]
+    assert len(alike) > 50 and {(max(p), min(p)) for p in links} <= set(alike)
+
+    def classes(pairs):
+        label = list(component)
+        while True:
+            before = list(label)
+            for a, b in [*pairs, *((i, c) for i, c in enumerate(component))]:
+                label[a] = label[b] = min(label[a], label[b])
+            if label == before:
+                return label
+
+    assert classes(links) == classes(alike)
+    if slice_rows > len(texts):
+        assert len(links) < len(set(component))

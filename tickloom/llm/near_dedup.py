@@ -8,15 +8,17 @@ earliest dart. Two documents agree in a coordinate with a probability equal to t
 Jaccard similarity of their multisets. Coordinates no dart has reached are filled by raising
 the limit. Bands of coordinates are buckets.
 
-Links are found in three rounds, which together leave no two members of a bucket uncompared
-unless they are in one component already. The hub of a bucket is its member with the largest
-buckets. Every member is compared with the first hub of its buckets, then with each of its
-buckets' hubs not in its component, at last with every member of its buckets not in its
-component. The first two rounds only keep the third small: a text with many copies is the hub of
-its buckets, whatever its id. A pair is compared once however many buckets it shares, and not at
-all if its texts' lengths rule the similarity out. Comparisons are exact (shingles of both
-texts) and spread by bytes of text, so no group is ever in one task; a bucket of many members
-unlike one another takes a comparison for each pair of them.
+Links are found in rounds. The hub of a bucket is its member with the largest buckets. Every
+member is compared with the first hub of its buckets, then with each of its buckets' hubs not in
+its component: a text with many copies is the hub of its buckets, whatever its id. A pair is
+compared once however many buckets it shares, and not at all if its texts' lengths rule the
+similarity out. Buckets that still hold several components are cut into cells, a slice of the members
+outside the largest component against a slice of all members. A cell is compared at once, as a product
+of the 0/1 matrices of its texts' regions, which is exact, and lets go links that join its
+components, one less than there are, never a row for each pair. So rows and shuffled bytes follow
+the members of the buckets times their slices, and only the products follow the pairs.
+
+Comparisons are spread by bytes and rows, so no group is ever in one task.
 """
 
 from __future__ import annotations
@@ -37,10 +39,15 @@ BANDS = 26
 ROWS = 5
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (np.log(COORDINATES) + 2)
-#: Node numbers of documents without an id start here; real ids lie below.
-NO_ID = 1 << 62
-#: Text of members that one task compares with a leader.
+#: Class numbers of rows without words start here; numbers of texts lie below.
+ALONE = 1 << 62
+#: Text and number of members that one task compares with a leader.
 VERIFY_BYTES = 1_000_000
+VERIFY_ROWS = 200
+#: Members and bytes of text in a slice of a bucket, and the regions multiplied at once.
+SLICE_ROWS = 1_000
+SLICE_BYTES = 8_000_000
+REGIONS_AT_ONCE = 4_096
 #: Candidates whose node numbers (8 bytes each) are broadcast to where the texts are read, so that
 #: other texts stay there; with more candidates all texts are shuffled once. The result is the same.
 BROADCAST_CANDIDATES = 4_000_000
@@ -178,7 +185,8 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     A leader with many members is copied, with a share of the members each.
     """
-    copies = pairs.groupBy("leader").agg(F.ceil(F.sum("n_bytes") / VERIFY_BYTES).cast("int").alias("n_copies"))
+    tasks = F.greatest(F.ceil(F.sum("n_bytes") / VERIFY_BYTES), F.ceil(F.count("*") / VERIFY_ROWS))
+    copies = pairs.groupBy("leader").agg(tasks.cast("int").alias("n_copies"))
     copies = materialise(copies, "leaders")
     copy = F.pmod(F.xxhash64("node"), F.greatest(F.col("n_copies"), F.lit(1))).cast("int").alias("copy")
     members = pairs.join(copies, "leader").select("leader", copy, F.lit(1).alias("role"), "node")
@@ -234,34 +242,153 @@ def _open_members(members: DataFrame, links: DataFrame) -> tuple[DataFrame, Data
     return parts, materialise(placed.join(mixed, "bucket"), "placed")
 
 
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of each combination of ``keys``, which come one after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys], axis=1)
+        starts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist()] if len(values) else []
+        for start, end in zip(starts, [*starts[1:], len(values)]):
+            key = tuple(values[start].tolist())
+            if key != last and held:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def shared_regions(units: np.ndarray, texts: np.ndarray, mine: np.ndarray, others: np.ndarray, n: int) -> np.ndarray:
+    """Number of regions that each text of ``mine`` shares with each of ``others``, of ``n`` texts."""
+    row = np.full((2, n), -1)
+    row[0, mine], row[1, others] = np.arange(len(mine)), np.arange(len(others))
+    _, column = np.unique(units, return_inverse=True)
+    in_mine, in_others = row[0, texts] >= 0, row[1, texts] >= 0
+    useful = np.zeros(column.max(initial=-1) + 1, bool)
+    useful[column[in_mine]] = True
+    useful &= np.bincount(column[in_others], minlength=len(useful)) > 0
+    useful &= np.bincount(column, minlength=len(useful)) > 1
+    number = np.cumsum(useful) - 1
+    at = np.flatnonzero(useful[column])
+    at = at[np.argsort(number[column[at]], kind="stable")]
+    column, texts = number[column[at]], texts[at]
+    shared = np.zeros((len(mine), len(others)), np.float32)  # whole numbers below 2^24 are exact
+    for begin in range(0, int(useful.sum()), REGIONS_AT_ONCE):
+        some = slice(*np.searchsorted(column, [begin, begin + REGIONS_AT_ONCE]))
+        sides = []
+        for side, size in ((0, len(mine)), (1, len(others))):
+            there = row[side, texts[some]] >= 0
+            matrix = np.zeros((size, REGIONS_AT_ONCE), np.float32)
+            matrix[row[side, texts[some]][there], column[some][there] - begin] = 1
+            sides.append(matrix)
+        shared += sides[0] @ sides[1].T
+    return shared
+
+
+def spanning(pairs: Iterator[tuple[int, int]]) -> Iterator[int]:
+    """Places of those ``pairs`` that join two components not joined by earlier ones."""
+    over: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while over.get(x, x) != x:
+            over[x] = over.get(over[x], over[x])
+            x = over[x]
+        return x
+
+    for place, (x, y) in enumerate(pairs):
+        x, y = top(x), top(y)
+        if x != y:
+            over[max(x, y)] = min(x, y)
+            yield place
+
+
+def _compare_cells(least: float):
+    def links_of(cell: pa.RecordBatch) -> pa.RecordBatch:
+        node, component, mine, others = (cell.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "mine", "other"))
+        mine, others = np.flatnonzero(mine), np.flatnonzero(others)
+        units, texts = regions(*shingles(normal_words(cell.column("text"))))
+        shared = shared_regions(units, texts, mine, others, cell.num_rows).astype(np.float64)
+        weight = np.bincount(texts, minlength=cell.num_rows)
+        whole = weight[mine][:, None] + weight[others][None, :] - shared
+        a, b = np.nonzero((shared >= least * whole - 1e-6) & (component[mine][:, None] != component[others][None, :]))
+        alike = shared[a, b] / whole[a, b] >= least
+        a, b = mine[a[alike]], others[b[alike]]
+        keep = list(spanning(zip(component[a].tolist(), component[b].tolist())))
+        return pa.RecordBatch.from_arrays([pa.array(node[a[keep]], pa.int64()), pa.array(node[b[keep]], pa.int64())], ["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in _groups(batches, ["bucket", "i", "j"]):
+            yield links_of(cell)
+
+    return compare
+
+
+def _cell_links(placed: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that join all components of a bucket which a similar pair of its members joins.
+
+    Of two members in different components one at least is outside the bucket's largest: members
+    outside are dealt into slices i, all members into slices j, and cell (i, j) compares the two. A
+    member comes once into a cell, whichever side it is on.
+    """
+    outside = F.col("component") != F.col("largest")
+    slices = lambda n, size: F.greatest(F.ceil(n / SLICE_ROWS), F.ceil(size / SLICE_BYTES), F.lit(1)).cast("int")
+    sizes = placed.groupBy("bucket").agg(
+        slices(F.count(F.when(outside, 1)), F.coalesce(F.sum(F.when(outside, F.col("n_bytes"))), F.lit(0))).alias("si"),
+        slices(F.count("*"), F.sum("n_bytes")).alias("sj"),
+    )
+    dealt = placed.withColumn("outside", outside).join(sizes, "bucket")
+    for name, n, seed in (("own_i", "si", 1), ("own_j", "sj", 2)):
+        dealt = dealt.withColumn(name, F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int"))
+    cell = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    numbers = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    none = F.array().cast("array<struct<i:int,j:int>>")
+    of_mine = F.when(F.col("outside"), F.transform(numbers("sj"), lambda j: cell(F.col("own_i"), j))).otherwise(none)
+    of_others = F.transform(numbers("si"), lambda i: cell(i, F.col("own_j")))
+    dealt = dealt.withColumn("cell", F.explode(F.array_union(of_mine, of_others))).select(
+        "bucket",
+        "cell.i",
+        "cell.j",
+        "node",
+        "component",
+        (F.col("outside") & (F.col("own_i") == F.col("cell.i"))).alias("mine"),
+        (F.col("own_j") == F.col("cell.j")).alias("other"),
+    )
+    in_order = dealt.join(texts, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    columns = in_order.select("bucket", "i", "j", "node", "component", "mine", "other", "text")
+    return columns.mapInArrow(_compare_cells(least), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Class of every row of ``docs`` (doc_id, text): doc_id, text_key, class_id, class_node.
 
     Rows are in one class if a chain of pairs with a weighted Jaccard similarity of ``least``
     links them; class_id is the smallest id in the class. Texts with the same words are
     copies. Rows without words are alone; rows that share an id are judged by their texts,
-    but texts whose smallest id is the same are one node; a null id is never the smallest,
-    and class_id is null in a class without ids; no rows give no rows.
-    ``class_node`` names the class also where class_id is null.
+    whatever the id; a null id is never the smallest, and class_id is null in a class without
+    ids; no rows give no rows. ``class_node`` tells classes apart that share a class_id.
     """
     signed = materialise(signatures(docs), "signatures")
-    own = F.coalesce("doc_id", F.lit(NO_ID) + F.call_function("shiftrightunsigned", F.col("text_key"), F.lit(3)))
     with_words = signed.where(F.size("bands") > 0)
-    first = F.min(F.struct(own.alias("node"), "doc_id", "text_key", "n_bytes", "n_shingles")).alias("rep")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n_bytes", "n_shingles")).alias("rep")
     copies = with_words.groupBy("fp1", "fp2").agg(first, F.first("bands").alias("bands"))
-    reps = materialise(copies.select("fp1", "fp2", "rep.*", "bands"), "representatives")
+    # numbers of the texts, fixed as they are written
+    reps = materialise(copies.select("fp1", "fp2", "rep.*", "bands", F.monotonically_increasing_id().alias("node")), "representatives")
 
     buckets = reps.select("node", "n_bytes", "n_shingles", F.explode("bands").alias("bucket"))
     shared = materialise(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     members = materialise(buckets.join(shared, "bucket"), "members")
     nodes = members.select("node").distinct()
-    chosen = materialise(reps.join(nodes, "node").select("node", "text_key"), "chosen")
+    # ids as keys that are never null
+    key = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0))).alias("id")
+    chosen = materialise(reps.join(nodes, "node").select("node", "text_key", key), "chosen")
     # the join and the removal of repeated rows go by the same keys, in one shuffle
     keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
-    keyed = keyed.select(own.alias("node"), "text_key", "text")
+    keyed = keyed.select(key, "text_key", "text")
     if chosen.count() <= BROADCAST_CANDIDATES:
-        keyed = keyed.join(F.broadcast(chosen.select("node")), "node", "left_semi")
-    wanted = keyed.join(chosen, ["node", "text_key"]).dropDuplicates(["node", "text_key"])
+        keyed = keyed.join(F.broadcast(chosen.select("text_key")), "text_key", "left_semi")
+    wanted = keyed.join(chosen, ["id", "text_key"]).dropDuplicates(["id", "text_key"])
     texts = materialise(wanted.select("node", "text"), "texts")
 
     scores = members.groupBy("node").agg(F.sum("n").alias("score"))
@@ -278,28 +405,21 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     met = placed.join(heads, "bucket").where("component <> other")
     fresh = materialise(_pairs(met, least).join(tried.select("low", "high"), ["low", "high"], "left_anti"), "pairs")
     more = materialise(verified(fresh, texts, least), "links")
-    tried, links = tried.unionByName(fresh), links.unionByName(more)
+    links = links.unionByName(more)
 
-    # of two members in different components, one at least is outside the bucket's largest component
-    parts, placed = _open_members(members, links)
-    outside = placed.where("component <> largest").select(
-        "bucket", F.col("node").alias("head"), F.col("component").alias("other"), F.col("n_shingles").alias("its")
-    )
-    met = placed.join(outside, "bucket").where("component <> other AND (component = largest OR node < head)")
-    rest = materialise(_pairs(met, least).join(tried.select("low", "high"), ["low", "high"], "left_anti"), "pairs")
-    more = materialise(verified(rest, texts, least), "links")
-    if not more.isEmpty():
-        parts = components(links.unionByName(more))
-
-    to_node = reps.select("fp1", "fp2", "node")
-    classed = (
-        with_words.join(to_node, ["fp1", "fp2"])
-        .join(parts, "node", "left")
-        .select("doc_id", "text_key", F.coalesce("component", "node").alias("class_node"))
-    )
-    alone = signed.where(F.size("bands") == 0).select("doc_id", "text_key", own.alias("class_node"))
-    class_id = F.when(F.col("class_node") < NO_ID, F.col("class_node"))
-    return classed.unionByName(alone).select("doc_id", "text_key", class_id.alias("class_id"), "class_node")
+    _, placed = _open_members(members, links)
+    more = materialise(_cell_links(placed, texts, least), "links")
+    links = links.unionByName(more)
+    parts = components(links)
+
+    named = reps.select("fp1", "fp2", "node", "doc_id").join(parts, "node", "left")
+    named = materialise(named.select("fp1", "fp2", "doc_id", F.coalesce("component", "node").alias("class_node")), "classes")
+    smallest = named.groupBy("class_node").agg(F.min("doc_id").alias("class_id"))
+    to_class = named.join(smallest, "class_node").select("fp1", "fp2", "class_id", "class_node")
+    classed = with_words.join(to_class, ["fp1", "fp2"]).select("doc_id", "text_key", "class_id", "class_node")
+    number = F.lit(ALONE) + F.monotonically_increasing_id()
+    alone = signed.where(F.size("bands") == 0).select("doc_id", "text_key", F.col("doc_id").alias("class_id"), number.alias("class_node"))
+    return classed.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
