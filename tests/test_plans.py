@@ -142,3 +142,11 @@ def test_written_series_can_be_released(spark, trades):
 
     path = written(spark.range(3), "released").inputFiles()[0].rsplit("/", 1)[0]
     assert folder_exists(spark, path) and release_runs(spark) > 0 and not folder_exists(spark, path)
+
+
+def test_all_checks_of_a_mart_take_one_scan(trades):
+    from tickloom.operators.quality import TableChecks, check_table
+
+    checks = TableChecks(not_null=["symbol", "price"], accepted={"symbol": ["view"]}, unique=["symbol"])
+    text = plan(check_table(trades, "trades", checks))
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1

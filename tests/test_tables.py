@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from tickloom import schemas as S
 from tickloom.operators import anomaly, reconcile
 from tickloom.operators.bars import ohlcv
-from tickloom.plans.daily_run import run_day
+from tickloom.plans.daily_run import aggregate_range, run_day, run_range
 from tickloom.plans.incremental import last_date, load_realtime, load_symbols, realtime_since
 from tickloom.plans.marts import dim_symbols, fct_realtime_ohlcv
 from tickloom.plans.staging import stg_ohlcv_1min, stg_trades
 from tickloom.session import run_dir, shared_dir
-from tickloom.sinks.tables import append_dates, replace_dates
+from tickloom.sinks.tables import append_dates, drop_dates, replace_dates
 from tickloom.sources.warehouse import Warehouse
 
 DAY = 86_400
@@ -100,6 +100,32 @@ def test_daily_run(spark, trades_of):
     assert spark.sql("select count(*) from dim_symbols").first()[0] == 2
 
 
+def test_a_range_of_days_is_run_at_once_and_again(spark, trades_of):
+    trades = trades_of([("AB"[i % 2], 100.0 + (i * 7) % 11, 10, (i % 3) * 2 * DAY + i * 60) for i in range(300)])
+    warehouse = filled_warehouse(spark, trades, trades)
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 5)
+    wanted = [{"date": f"2024-01-0{d}", "rows": 2 * (d % 2)} for d in range(1, 6)]
+    assert run_range(warehouse, first, last) == wanted
+    kept = warehouse.read("daily_summary_batch").drop("computed_at").collect()
+    log = warehouse.read("reconciliation_log").orderBy("reconciliation_date").collect()
+    assert [(r.status, r.symbols_checked, r.discrepancy_count) for r in log] == [("PASS", 2 * (d % 2), 0) for d in range(1, 6)]
+    assert aggregate_range(warehouse, first, last) == wanted
+    assert sorted(warehouse.read("daily_summary_batch").drop("computed_at").collect()) == sorted(kept)
+    drop_dates(spark, warehouse.path(S.RAW_TRADES), [dt.date(2024, 1, 3)])
+    assert [r["rows"] for r in aggregate_range(warehouse, first, dt.date(2024, 1, 4))] == [2, 0, 0, 0]
+    left = warehouse.read("daily_summary_batch").select("trade_date").distinct().collect()
+    assert {r.trade_date for r in left} == {first, last}
+    with pytest.raises(ValueError):
+        run_range(warehouse, last, first)
+
+
+def test_a_range_before_any_trade_writes_nothing(spark, trades_of):
+    trades = trades_of([("A", 1.0, 1, 0)])
+    warehouse = filled_warehouse(spark, trades, trades)
+    assert aggregate_range(warehouse, dt.date(2023, 1, 1), dt.date(2023, 1, 1)) == [{"date": "2023-01-01", "rows": 0}]
+    assert aggregate_range(warehouse, dt.date(2024, 1, 1), dt.date(2024, 1, 1)) == [{"date": "2024-01-01", "rows": 1}]
+
+
 def test_daily_run_stops_on_a_severe_discrepancy(spark, trades_of):
     trades = trades_of([("AB"[i % 2], 100.0, 10, i * 60) for i in range(60)])
     warehouse = filled_warehouse(spark, trades, trades.filter("symbol = 'A'"))

@@ -47,18 +47,25 @@ def _row(table: str, column: str, check: str, failures: Column) -> Column:
 def check_table(df: DataFrame, table: str, checks: TableChecks) -> DataFrame:
     """Rows (table_name, column_name, check_name, failures, status), one per check.
 
-    Nulls pass the accepted-values and unique checks, as nulls have a check of their own.
+    Nulls pass the accepted-values and unique checks, as nulls have a check of their own. The
+    row-level checks are counted with the first uniqueness check, in the same aggregation;
+    each further unique column takes a scan of that column.
     """
-    rows = [_row(table, c, "not_null", F.count_if(F.col(c).isNull())) for c in checks.not_null]
-    rows += [
-        _row(table, c, "accepted_values", F.count_if(~F.col(c).isin(values))) for c, values in checks.accepted.items()
-    ]
+    failing = [(c, "not_null", F.col(c).isNull()) for c in checks.not_null]
+    failing += [(c, "accepted_values", ~F.col(c).isin(values)) for c, values in checks.accepted.items()]
     results = []
-    if rows:
-        results.append(df.agg(F.array(*rows).alias("checks")))
-    for c in checks.unique:
-        repeated = df.filter(F.col(c).isNotNull()).groupBy(c).count()
-        results.append(repeated.agg(F.array(_row(table, c, "unique", F.count_if(F.col("count") > 1))).alias("checks")))
+    for place, c in enumerate(checks.unique or [None]):
+        with_rows = failing if place == 0 else []
+        counts = [F.count_if(condition).alias(f"failing_{i}") for i, (_, _, condition) in enumerate(with_rows)]
+        if c is None:
+            summed = [_row(table, column, check, count) for (column, check, _), count in zip(with_rows, counts)]
+            grouped = df
+        else:
+            grouped = df.groupBy(F.col(c).alias("unique_key")).agg(F.count("*").alias("copies"), *counts)
+            summed = [_row(table, column, check, F.sum(f"failing_{i}")) for i, (column, check, _) in enumerate(with_rows)]
+            summed.append(_row(table, c, "unique", F.count_if(F.col("unique_key").isNotNull() & (F.col("copies") > 1))))
+        if summed:
+            results.append(grouped.agg(F.array(*summed).alias("checks")))
     flat = reduce(DataFrame.unionByName, results).select(F.inline("checks"))
     return flat.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 

@@ -515,6 +515,10 @@ def all_oracles() -> dict[str, str]:
         "daily_summary_day": _with(
             [TRADES, _day_summary()], "SELECT * FROM day_summary WHERE trade_date = DATE '2024-01-15'"
         ),
+        "daily_run_state": _with(
+            [TRADES, _day_summary()],
+            "SELECT * FROM day_summary WHERE trade_date NOT IN (DATE '2024-01-15', DATE '2024-01-17')",
+        ),
         "reconcile_batch_side": _with([TRADES, _batch_side("trades")], "SELECT * FROM batch"),
         "reconcile_batch_side_many_symbols": _with(
             [

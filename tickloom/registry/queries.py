@@ -13,12 +13,14 @@ from tickloom.operators import alerts, anomaly, dedup, quality, reconcile, unive
 from tickloom.operators.bars import ohlcv
 from tickloom.operators.daily import daily_summary
 from tickloom.plans import dashboards, marts
+from tickloom.plans.daily_run import aggregate_range
 from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
 from tickloom.plans.staging import stg_anomalies, stg_ohlcv_1min, stg_trades
 from tickloom.schemas import BAR_WINDOWS, RAW_TRADES
 from tickloom.session import pin_utc, run_dir, stream_session
 from tickloom.sinks.streams import AVAILABLE_NOW, to_message_files, to_table
+from tickloom.sinks.tables import drop_dates, replace_dates
 from tickloom.sources import events, intraday, messages, ticks
 from tickloom.sources.warehouse import Warehouse
 from tickloom.streaming.anomaly_stream import start_anomaly_stream
@@ -28,6 +30,7 @@ AS_OF = dt.date(2024, 1, 15)
 FOLLOWED = "view, click ,purchase"
 SYMBOL = "view"
 OFFSET = 3000.0
+NEVER_TRADED = dt.date(2024, 1, 17)
 FIRST_LOAD_ENDS = "2024-01-15 12:00:00"
 LANDINGS = ["2024-01-11", "2024-01-21"]
 STREAM_PARTITIONS = 8
@@ -290,6 +293,20 @@ def _reconcile_details(spark, sf_dir):
     return warehouse.read("discrepancies").withColumnRenamed("trade_date", "reconciliation_date")
 
 
+@query("daily_run_state")
+def _daily_run_state(spark, sf_dir):
+    """The daily summary after all days were run at once, then a few again of which one was emptied and one never traded."""
+    warehouse = Warehouse(spark, run_dir(spark, "daily_run_state"))
+    dated = _trades(spark, sf_dir).withColumn("trade_date", F.to_date("event_time"))
+    replace_dates(dated.filter(F.col("trade_date") != F.lit(NEVER_TRADED)), warehouse.path(RAW_TRADES))
+    first, last = dated.agg(F.min("trade_date"), F.max("trade_date")).first()
+    aggregate_range(warehouse, first, last)
+    drop_dates(spark, warehouse.path(RAW_TRADES), [AS_OF])
+    for _ in range(2):
+        aggregate_range(warehouse, AS_OF - dt.timedelta(days=2), NEVER_TRADED + dt.timedelta(days=1))
+    return warehouse.read("daily_summary_batch")
+
+
 @query("reconcile_alerts")
 def _reconcile_alerts(spark, sf_dir):
     return reconcile.failure_text(reconcile.report(_compared(spark, sf_dir)))
