@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -450,6 +451,45 @@ def test_url_model_on_held_out_urls():
     assert model.probability(pa.array(["", None]))[0] == pytest.approx(1 / (1 + math.exp(-model.bias)))
 
 
+class _PlainText(HTMLParser):
+    """Text of a page by the standard library's parser."""
+
+    def __init__(self):
+        super().__init__()
+        self.parts, self.skipped = [], None
+
+    def handle_starttag(self, tag, attrs):
+        if self.skipped is None and tag in ("script", "style", "noscript", "template"):
+            self.skipped = tag
+        self.parts.append("\n" if tag in warc.BREAKING and self.skipped is None else "")
+
+    def handle_endtag(self, tag):
+        if tag == self.skipped:
+            self.skipped = None
+        elif self.skipped is None and tag in warc.BREAKING:
+            self.parts.append("\n")
+
+    def handle_data(self, data):
+        if self.skipped is None:
+            self.parts.append(data)
+
+
+def _parsed_text(markup):
+    parser = _PlainText()
+    parser.feed(" ".join(markup.split()))
+    parser.close()
+    lines = (" ".join(line.split()) for line in "".join(parser.parts).split("\n"))
+    return "\n".join(line for line in lines if line)
+
+
+def test_html_text_equals_a_parser(spark):
+    pages = [r["html"] or "" for r in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect()]
+    made = ['<p title="a > b">text</p>', '<p title = "a > b">text</p>', "<a href='x<y'>link</a> <b data-x=\"it's\">bold</b>", '<script src="a>b">no</script>yes', "<p>it's <i>so</i>"]
+    for page in pages + made:
+        assert warc.html_text(page) == _parsed_text(page)
+    assert warc.html_text(made[0]) == "text" and warc.html_text('<p title="open>text') == "text"
+
+
 def test_warc_files_hold_the_records(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").limit(40).unionByName(
         spark.createDataFrame([(None, None, None), (-1, "http://x/", "<p>a<b>b</b> &amp; c<script>x<y</script><br>d<!-- e")], "page_id long, url string, html string")

@@ -28,8 +28,13 @@ RECORD_SCHEMA = (
     "source_headers array<struct<name:string,value:string>>, header string, block string"
 )
 
-_SKIPPED = r"<(script|style|noscript|template)\b[^<>]*>.*?(?:</\1\s*>|\Z)"
-MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|{_SKIPPED}|</?([a-z][a-z0-9]*)[^<>]*>|<[!?][^<>]*>", re.DOTALL | re.IGNORECASE)
+#: The inside of a tag: a quoted value may hold any character, also angle brackets.
+_VALUE = r"(?:(?<==)|(?<== ))"
+_INSIDE = rf"(?>(?:[^<>\"']|{_VALUE}(?:\"[^\"]*\"|'[^']*')|(?<!=)(?<!= )[\"'])*)"
+_SKIPPED = rf"<(script|style|noscript|template)\b{_INSIDE}>.*?(?:</\1\s*>|\Z)"
+MARKUP = re.compile(
+    rf"<!--.*?(?:-->|\Z)|{_SKIPPED}|</?([a-z][a-z0-9]*){_INSIDE}>|</?([a-z][a-z0-9]*)[^<>]*>|<[!?][^<>]*>", re.DOTALL | re.IGNORECASE
+)
 #: Elements that start a new line.
 BREAKING = frozenset(
     "address article aside blockquote body br dd div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html "
@@ -41,7 +46,7 @@ def html_text(markup: str) -> str:
     """Text of a page: markup, scripts, styles and comments go, blocks become lines, entities characters."""
 
     def replaced(match: re.Match) -> str:
-        name = match.group(2)
+        name = match.group(2) or match.group(3)
         return "\n" if name and name.lower() in BREAKING else ""
 
     stripped = html.unescape(MARKUP.sub(replaced, " ".join(markup.split())))
