@@ -10,7 +10,7 @@ import pytest
 from conftest import SF
 
 import corpus_pipeline
-from tickloom.llm import near_dedup, packing, quality, registry, token_file, tokens
+from tickloom.llm import near_dedup, packing, quality, registry, sharding, token_file, tokens
 from tickloom.session import run_dir
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -160,3 +160,19 @@ def test_cells_link_what_brute_force_links(spark, monkeypatch, slice_rows):
     assert classes(links) == classes(alike)
     if slice_rows > len(texts):
         assert len(links) < len(set(component))
+
+
+def test_equal_rows_are_counted_numbered_and_written_out(spark, monkeypatch):
+    """A third of the rows equal, more than one chunk of them: slots without gaps, the same ones in any partitioning."""
+    monkeypatch.setattr(sharding, "CHUNK", 7)
+    rows = [(None, "")] * 100 + [(3, "a")] * 7 + [(3, None)] * 8 + [(i, f"text {i}") for i in range(185)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [sorted(map(tuple, sharding.shard(docs.repartition(n), 8).collect()), key=str) for n in (1, 5)]
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    assert sorted(r[3] for r in got[0]) == list(range(len(rows)))
+    slots = collections.defaultdict(list)
+    for r in got[0]:
+        slots[r[4]].append(r[5])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    held = collections.Counter((i, len((t or "").encode()) + 16) for i, t in rows)
+    assert collections.Counter((r[0], r[1]) for r in got[0]) == held

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 ROUNDS = 4
 _PRIME = 4294967291  # the largest below 2**32
+#: Equal rows that are written out at once.
+CHUNK = 1 << 20
 
 
 def scramble(x: Column, key: int) -> Column:
@@ -74,31 +76,38 @@ def permute(number: Column, n: int, seed: int) -> Column:
 
 
 def numbered(rows: DataFrame, identity: list[str], grains: int = 4096) -> DataFrame:
-    """Add ``row_number``, 0 to N-1: the place in the order of (grain, identity).
+    """The columns ``identity`` of all rows and ``row_number``, 0 to N-1: the place in the order of (grain, identity).
 
     ``identity`` are whole-number columns; the same rows get the same numbers however they
     are partitioned. The grain is a hash of the identity, so that rows are sorted in
     ``grains`` equal parts; only the parts' counts are summed up in one place. Rows equal in
-    all of ``identity`` share their numbers in some order, nulls come first.
+    all of ``identity`` are counted before the shuffle, sorted as one, and written out again,
+    ``CHUNK`` at a time; they share their numbers, nulls come first.
     """
     mixed = F.lit(17).cast("long")
     for name in identity:
         value = F.pmod(F.coalesce(F.col(name).cast("long"), F.lit(-1).cast("long")), F.lit(_PRIME))
         mixed = (mixed.bitwiseXOR(value) % F.lit(_PRIME) * F.lit(1540483477) + F.lit(97)) % F.lit(_PRIME)
-    cut = rows.withColumn("grain", F.shiftright(mixed, 7) % F.lit(grains))
+    equal = rows.groupBy(*identity).agg(F.count("*").alias("copies"))
+    cut = equal.withColumn("grain", F.shiftright(mixed, 7) % F.lit(grains))
     before = W.orderBy("grain").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         cut.groupBy("grain")
-        .agg(F.count("*").alias("grain_rows"))
+        .agg(F.sum("copies").alias("grain_rows"))
         .select("grain", F.coalesce(F.sum("grain_rows").over(before), F.lit(0)).alias("grain_offset"))
     )
     order = W.partitionBy("grain").orderBy(*[F.col(c).asc_nulls_first() for c in identity])
-    return (
-        cut.withColumn("place", F.row_number().over(order))
-        .join(offsets, "grain")
-        .withColumn("row_number", F.col("grain_offset") + F.col("place") - 1)
-        .drop("grain", "grain_offset", "place")
+    earlier = F.coalesce(F.sum("copies").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = cut.withColumn("place", earlier).join(offsets, "grain")
+    chunks = placed.select(
+        *identity,
+        (F.col("grain_offset") + F.col("place")).alias("first_number"),
+        "copies",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(CHUNK).cast("long"))).alias("chunk"),
     )
+    last = F.least(F.col("chunk") + CHUNK, F.col("copies")) - 1
+    each = chunks.select(*identity, "first_number", F.explode(F.sequence("chunk", last)).alias("copy"))
+    return each.select(*identity, (F.col("first_number") + F.col("copy")).alias("row_number"))
 
 
 def shard(docs: DataFrame, shards: int = 40, seed: int = 2024) -> DataFrame:
