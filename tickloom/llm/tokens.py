@@ -4,6 +4,9 @@ The tokenizers here never merge across a space or line break that stands between
 plain characters, so a text is cut there and its pieces encoded by themselves. A text with
 anything else next to a space or line break (a second one, say) is encoded as a whole. So
 is, if special tokens count as such, a text that holds the spelling of one.
+
+Most words are letters, or letters and punctuation: those are cut once more, into units that
+many words share, and the units are kept with their ids. The cuts are made on whole columns.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import compress
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +22,13 @@ import pyarrow.compute as pc
 
 from tickloom.llm.common import per_worker
 
-#: Words kept with their ids in a worker; beyond that, those that only one batch held go.
+#: Units and odd words kept with their ids in a worker; beyond that, those that only one batch held go.
 CACHE_WORDS = 1_000_000
 #: A word that starts and ends with printable ASCII, a letter, a digit or "_".
 PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
 #: Letters, then punctuation: two units of any of these tokenizers, which the model takes as they are.
 MARKS = ".,;:!?"
-TWO_UNITS = re.compile(rf"[A-Za-zÀ-ÖØ-öø-ÿ]+[{MARKS}]*")
+LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -55,16 +58,14 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.places: tuple[dict[str, int], dict[str, int]] = ({}, {})  # bare words, words after a space
-        self.units: tuple[dict[str, list[int]], dict[str, list[int]]] = ({}, {})
-        self.marks: dict[str, list[int]] = {}
+        self.places: tuple[dict[str, int], dict[str, int]] = ({}, {})  # at the start of a line, after a space
         self.pool = np.zeros(0, np.uint32)
-        self.begin = np.zeros(1, np.int64)  # place 0 holds no ids: for words that aren't looked up
+        self.begin = np.zeros(1, np.int64)  # place 0 holds no ids
         self.length = np.zeros(1, np.int64)
-        self.uses = np.zeros(1, np.uint8)  # batches that held a word, up to 2
+        self.uses = np.zeros(1, np.uint8)  # batches that held it, up to 2
 
     def _forget(self) -> None:
-        """Keep the words that several batches held, and their ids."""
+        """Keep what several batches held."""
         kept = self.uses > 1
         kept[0] = True
         moved = np.cumsum(kept) - 1
@@ -74,76 +75,63 @@ class WordEncoder:
         self.uses = np.minimum(self.uses[kept], 1)
         stays, to = kept.tolist(), moved.tolist()
         self.places = tuple({w: to[p] for w, p in held.items() if p > 0 and stays[p]} for held in self.places)
-        self.units = ({}, {})
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32) for e in encoded]
 
-    def _spell(self, unit: str) -> list[int]:
-        """The ids the model gives a unit, spelled in the letters that stand for its bytes."""
-        spelled = unit if unit.isascii() and unit.isalpha() else unit.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.tokenizer.model.tokenize(spelled)]
+    def _spelled(self, units: list[str], space: str) -> list[str]:
+        """The units, a space before each, in the letters that stand for their bytes."""
+        foreign = "\n".join(space + u for u in units if not u.isascii())
+        spelled = iter(foreign.encode().decode("latin-1").translate(self.letters).split(self.letters[10]))
+        lead = self.letters[32] if space else ""
+        return [lead + u if u.isascii() else next(spelled) for u in units]
 
-    def _learn(self, words: list[str], after_space: bool) -> None:
-        places, units = self.places[after_space], self.units[after_space]
-        tokenize, lowered = self.tokenizer.model.tokenize, self.lowered
+    def _learn(self, words: list[str], is_unit: np.ndarray, after_space: bool) -> None:
+        """Find ids for units and for words that are none; -1 is the place of a word that can't stand by itself."""
         space = " " if after_space and self.spaced else ""
-        lead = self.letters[32] if space else ""
-        flat: list[int] = []
-        length: list[int] = []
-        rest: list[str] = []
-        at = len(self.begin)
-        for word in words:
-            name = word.rstrip(MARKS)
-            if name.isascii() and name.isalpha():
-                key = name.lower() if lowered else name
-                ids = units.get(key)
-                if ids is None:
-                    ids = units[key] = [t.id for t in tokenize(lead + key)]
-            elif TWO_UNITS.fullmatch(word):
-                key = name.lower() if lowered else name
-                ids = units.get(key)
-                if ids is None:
-                    ids = units[key] = self._spell(space + key)
-            elif PLAIN.fullmatch(word):
-                rest.append(word)
-                continue
-            else:
-                places[word] = -1
-                continue
-            if len(name) < len(word):
-                marks = word[len(name) :]
-                known = self.marks.get(marks)
-                if known is None:
-                    known = self.marks[marks] = self._spell(marks)
-                ids = ids + known
-            flat.extend(ids)
-            length.append(len(ids))
-            places[word] = at
-            at += 1
-        for word, ids in zip(rest, self.whole([space + w for w in rest])):
-            flat.extend(ids.tolist())
-            length.append(len(ids))
-            places[word] = at
-            at += 1
-        sizes = np.array(length, np.int64)
+        tokenize = self.tokenizer.model.tokenize
+        units, rest, stuck = [], [], []
+        for word, unit in zip(words, is_unit.tolist()):
+            (units if unit else rest if PLAIN.fullmatch(word) else stuck).append(word)
+        ids = [[t.id for t in tokenize(u)] for u in self._spelled(units, space)]
+        ids += self.whole([space + w for w in rest])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        at, held = len(self.begin), self.places[after_space]
+        held.update(zip(units + rest, range(at, at + len(ids))))
+        held.update((w, -1) for w in stuck)
         self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.uint8)])
         self.begin = np.concatenate([self.begin, np.cumsum(sizes) - sizes + len(self.pool)])
         self.length = np.concatenate([self.length, sizes])
-        self.pool = np.concatenate([self.pool, np.array(flat, np.uint32)])
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
 
-    def _look_up(self, words: list[str], after_space: bool) -> np.ndarray:
-        """Cache places of words; -1 for a word that can't stand by itself."""
+    def _look_up(self, words: pa.Array, is_unit: pa.Array, after_space: bool) -> np.ndarray:
+        """Cache places of units and whole words."""
+        coded = words.dictionary_encode()
+        index, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         get = self.places[after_space].get
-        found = list(map(get, words))
+        found = list(map(get, distinct))
         if None in found:
-            self._learn([w for w, p in zip(words, found) if p is None], after_space)
-            found = list(map(self.places[after_space].get, words))
+            unit = np.zeros(len(distinct), bool)
+            unit[index] = is_unit.to_numpy(zero_copy_only=False)
+            new = [i for i, p in enumerate(found) if p is None]
+            self._learn([distinct[i] for i in new], unit[new], after_space)
+            found = list(map(get, distinct))
         places = np.array(found, np.int64)
         used = np.maximum(places, 0)  # each place once, but for 0
         self.uses[used] = np.minimum(self.uses[used] + 1, 2)
-        return places
+        return places[index]
+
+    def _words(self, words: pa.Array, after_space: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places of each word and of the marks behind it: 0 for no marks, -1 for a word that can't stand by itself."""
+        names = pc.utf8_rtrim(words, MARKS)
+        is_unit = pc.match_substring_regex(names, f"^{LETTERS}$")
+        place = self._look_up(pc.if_else(is_unit, pc.utf8_lower(names) if self.lowered else names, words), is_unit, after_space)
+        marked = pc.and_(is_unit, pc.not_equal(pc.binary_length(names), pc.binary_length(words)))
+        tails = pc.replace_substring_regex(words.filter(marked), f"^{LETTERS}", "")
+        marks = np.zeros(len(words), np.int64)
+        marks[marked.to_numpy(zero_copy_only=False)] = self._look_up(tails, pa.array(np.ones(len(tails), bool)), False)
+        return place, marks
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids end to end, and how many each text has. Null is empty."""
@@ -163,27 +151,29 @@ class WordEncoder:
         breaks[word_at[line_at[:-1]]] = False
         coded = line_words.values.dictionary_encode()
         index = coded.indices.to_numpy()
-        distinct = coded.dictionary.to_pylist()
+        n = len(coded.dictionary)
         # a word with no space of its own has the same ids everywhere
         if self.spaced:
-            index = index + leads * np.int32(len(distinct))
-        used = np.zeros(2 * len(distinct), bool)
+            index = index + leads * np.int32(n)
+        used = np.zeros(2 * n, bool)
         used[index] = True
-        table = np.full(2 * len(distinct), -1, np.int64)
+        place, marks = np.full(2 * n, -1, np.int64), np.zeros(2 * n, np.int64)
         for half, after_space in enumerate((True, False) if self.spaced else (False,)):
-            here = slice(half * len(distinct), (half + 1) * len(distinct))
-            table[here][used[here]] = self._look_up(list(compress(distinct, used[here].tolist())), after_space)
-        place = table[index]
+            here = half * n + np.flatnonzero(used[half * n : (half + 1) * n])
+            place[here], marks[here] = self._words(coded.dictionary.take(pa.array(here - half * n)), after_space)
         text_at = word_at[line_at]  # words of a text
-        plain = place >= 0
-        place = np.maximum(place, 0)
-        begin, length = self.begin[place], self.length[place]
+        plain = (place >= 0)[index]
+        # ids of the distinct words, end to end
+        parts = np.stack([np.maximum(place, 0), marks], axis=1)
+        pool = _gather(self.pool, self.begin[parts.ravel()], self.length[parts.ravel()])
+        word_length = self.length[parts].sum(axis=1)
+        begin, length = (np.cumsum(word_length) - word_length)[index], word_length[index]
         counts = _sums(length + breaks * len(self.break_ids), text_at)
         odd = np.zeros(len(texts), bool)
         odd[np.searchsorted(text_at, np.flatnonzero(~plain), "right") - 1] = True
         for spelling in self.marked:
             odd |= pc.match_substring(texts, spelling, ignore_case=True).to_numpy(zero_copy_only=False)
-        ids = _gather(self.pool, begin, length)
+        ids = _gather(pool, begin, length)
         if len(self.break_ids):
             ids = np.insert(ids, np.repeat((np.cumsum(length) - length)[breaks], len(self.break_ids)), np.tile(self.break_ids, int(breaks.sum())))
         if not odd.any():
