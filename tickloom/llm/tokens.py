@@ -14,7 +14,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ PLAIN = re.compile(r"[!-~\w](?:.*[!-~\w])?", re.DOTALL)
 #: Letters, then punctuation: two units of any of these tokenizers, which the model takes as they are.
 MARKS = ".,;:!?"
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_ID = attrgetter("id")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -94,16 +95,23 @@ class WordEncoder:
         units, rest, stuck = [], [], []
         for word, unit in zip(words, is_unit.tolist()):
             (units if unit else rest if PLAIN.fullmatch(word) else stuck).append(word)
-        ids = [[t.id for t in tokenize(u)] for u in self._spelled(units, space)]
-        ids += self.whole([space + w for w in rest])
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        # flat, as a list for each unit would keep the garbage collector busy
+        flat: list[int] = []
+        ends = [0]
+        for unit in self._spelled(units, space):
+            flat.extend(map(_ID, tokenize(unit)))
+            ends.append(len(flat))
+        for ids in self.whole([space + w for w in rest]):
+            flat.extend(ids.tolist())
+            ends.append(len(flat))
+        sizes = np.diff(ends)
         at, held = len(self.begin), self.places[after_space]
-        held.update(zip(units + rest, range(at, at + len(ids))))
+        held.update(zip(units + rest, range(at, at + len(sizes))))
         held.update((w, -1) for w in stuck)
         self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.uint8)])
         self.begin = np.concatenate([self.begin, np.cumsum(sizes) - sizes + len(self.pool)])
         self.length = np.concatenate([self.length, sizes])
-        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))])
+        self.pool = np.concatenate([self.pool, np.array(flat, np.uint32)])
 
     def _look_up(self, words: pa.Array, is_unit: pa.Array, after_space: bool) -> np.ndarray:
         """Cache places of units and whole words."""
