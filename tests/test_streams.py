@@ -12,6 +12,7 @@ from tickloom.sinks.streams import AVAILABLE_NOW, as_messages, to_console, to_ta
 from tickloom.sources import messages
 from tickloom.sources.warehouse import Warehouse
 from tickloom.streaming.anomaly_stream import RollingDetector, start_anomaly_stream
+from tickloom.streaming.dedup_stream import FirstSightings, start_first_sightings
 from tickloom.streaming.speed_layer import start_speed_layer
 
 START = dt.datetime(2024, 1, 1, 9, tzinfo=dt.timezone.utc)
@@ -128,6 +129,34 @@ def test_stream_dedup(spark):
     assert sorted(r.price for r in spark.read.parquet(f"{folder}/out").collect()) == [1.0, 2.0, 3.0]
 
 
+def test_first_sightings_are_kept_however_late(spark):
+    feed = Feed(spark, "sightings")
+    run = lambda: start_first_sightings(feed.trades(), f"{feed.folder}/out", f"{feed.folder}/cp", AVAILABLE_NOW).awaitTermination()
+    feed.land(message("A", 1.0, 1, 86_400 * 9), message("A", 2.0, 1, 86_400 * 9 + 60), message("A", 5.0, 1, 86_400 * 9))
+    run()
+    # a repeat, a first sighting nine days late, another symbol at a known time, two trades without a time
+    feed.land(message("A", 7.0, 1, 86_400 * 9 + 60), message("A", 3.0, 1, 0), message("B", 4.0, 1, 0), *[message("A", 6.0, 1, None)] * 2)
+    run()
+    feed.land(message("A", 8.0, 1, 0))
+    run()
+    assert sorted(r.price for r in spark.read.parquet(f"{feed.folder}/out").collect()) == [1.0, 2.0, 3.0, 4.0, 6.0, 6.0]
+
+
+def test_a_batch_of_first_sightings_run_again_changes_nothing(spark):
+    folder = run_dir(spark, "sightings")
+    sink = FirstSightings(f"{folder}/out")
+    table = lambda *texts: messages.decode_trades(spark.createDataFrame([(t,) for t in texts], "value string"))
+    read = lambda: sorted((r.symbol, r.price) for r in spark.read.parquet(f"{folder}/out").collect())
+    sink(table(message("A", 1.0, 1, 0), message("A", 2.0, 1, 86_400)), 0)
+    for _ in range(2):
+        sink(table(message("A", 9.0, 1, 0), message("A", 3.0, 1, 60)), 1)
+        assert read() == [("A", 1.0), ("A", 2.0), ("A", 3.0)]
+    sink(table(message("A", 1.0, 1, 0), message("A", 2.0, 1, 86_400)), 0)
+    assert read() == [("A", 1.0), ("A", 2.0), ("A", 3.0)]
+    sink(table(message("A", 9.0, 1, 0)), 2)  # nothing new
+    assert len(read()) == 3
+
+
 def test_messages_are_keyed_json(spark):
     row = as_messages(spark.createDataFrame([("A", 1.5)], "symbol string, price double")).first()
     assert (row.key, json.loads(row.value)) == ("A", {"symbol": "A", "price": 1.5})

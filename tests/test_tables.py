@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,36 @@ def test_upsert_picks_up_late_bars_of_the_last_date(spark, trades_of):
     assert table.count() == table.select("symbol", "window_start").distinct().count() == 10
 
 
+def test_a_load_reads_its_own_and_the_warm_up_partitions_only(spark, trades_of):
+    warehouse = Warehouse(spark, run_dir(spark, "log"))
+    staged = stg_ohlcv_1min(ohlcv(trades_of([("A", float((i * 31) % 17), 10 + i, i * DAY) for i in range(80)]), "1 minute"))
+    path = warehouse.path("bars")
+    replace_dates(staged, path)
+    bars = lambda: spark.read.schema(staged.schema).parquet(path)
+    load_realtime(warehouse, bars().filter(F.col("trade_date") < F.lit(dt.date(2024, 3, 15))))
+    # 49 days of warm-up before March 14, the newest loaded day, begin on January 25: older files are made unreadable
+    spoiled = [f for d in range(1, 25) for f in pathlib.Path(path.removeprefix("file:")).glob(f"trade_date=2024-01-{d:02}/*.parquet")]
+    assert len(spoiled) >= 20
+    for file in spoiled:
+        pathlib.Path(file.parent, f".{file.name}.crc").unlink(missing_ok=True)
+        file.write_text("not parquet")
+    load_realtime(warehouse, bars())
+    full = fct_realtime_ohlcv(staged).drop("processed_at")
+    loaded = warehouse.read("fct_realtime_ohlcv").select(*full.columns)
+    assert loaded.count() == 80
+    assert loaded.exceptAll(full).count() == full.exceptAll(loaded).count() == 0
+    log = warehouse.read("fct_realtime_ohlcv_loads")
+    assert log.count() == 80 and {r.n_rows for r in log.collect()} == {1}
+
+
+def test_a_load_of_nothing_is_not_recorded(spark, trades_of):
+    warehouse = Warehouse(spark, run_dir(spark, "nothing"))
+    bars = stg_ohlcv_1min(ohlcv(trades_of([("A", 1.0, 1, 0)]), "1 minute"))
+    load_realtime(warehouse, bars.limit(0))
+    load_realtime(warehouse, bars)
+    assert warehouse.read("fct_realtime_ohlcv").count() == warehouse.read("fct_realtime_ohlcv_loads").count() == 1
+
+
 def filled_warehouse(spark, trades, streamed):
     warehouse = Warehouse(spark, run_dir(spark, "daily"))
     replace_dates(trades.drop("seq").withColumn("trade_date", F.to_date("event_time")), warehouse.path(S.RAW_TRADES))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tickloom.plans import load_log
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
 from tickloom.plans.marts import (
     LONG_MEAN,
@@ -27,17 +28,22 @@ def last_date(table: DataFrame | None, date_col: str = "trade_date") -> dt.date
     return None if table is None else table.agg(F.max(date_col)).first()[0]
 
 
-def realtime_since(bars: DataFrame, since: dt.date) -> DataFrame:
+def realtime_since(bars: DataFrame, since: dt.date, counts: DataFrame | None = None) -> DataFrame:
     """The bar fact for dates from ``since`` on.
 
     Earlier bars enter only as warm-up: the newest 49 of each symbol that still trades.
-    Counts per symbol and date, a scan of two columns, tell which dates hold them; only
-    those partitions are then read.
+    Counts per symbol and date tell which dates hold them; only those partitions are then
+    read. ``counts`` (series, trade_date, n_rows) are those of earlier loads; without them two
+    columns of all earlier bars are scanned.
     """
     keyed = bars.withColumn("series", series_key())
     fresh = keyed.filter(F.col("trade_date") >= F.lit(since))
     older = keyed.filter(F.col("trade_date") < F.lit(since))
-    needed = _warmup_dates(older, fresh.select("series").distinct())
+    if counts is None:
+        counts = older.groupBy("series", "trade_date").agg(F.count("*").alias("n_rows"))
+    else:
+        counts = counts.filter(F.col("trade_date") < F.lit(since))
+    needed = _warmup_dates(counts, fresh.select("series").distinct())
     dates = [row.trade_date for row in needed.select("trade_date").distinct().collect()]  # days, not bars
     newest = W.partitionBy("series").orderBy(F.col("window_start").desc())
     warmup = (
@@ -51,14 +57,12 @@ def realtime_since(bars: DataFrame, since: dt.date) -> DataFrame:
     return whole.filter(F.col("trade_date") >= F.lit(since))
 
 
-def _warmup_dates(older: DataFrame, traded: DataFrame) -> DataFrame:
+def _warmup_dates(counts: DataFrame, traded: DataFrame) -> DataFrame:
     """Each series' latest dates that together hold the warm-up bars."""
     later_days = W.partitionBy("series").orderBy(F.col("trade_date").desc()).rowsBetween(W.unboundedPreceding, -1)
     return (
-        older.groupBy("series", "trade_date")
-        .agg(F.count("*").alias("bars"))
-        .join(traded, "series", "left_semi")
-        .withColumn("later", F.coalesce(F.sum("bars").over(later_days), F.lit(0)))
+        counts.join(traded, "series", "left_semi")
+        .withColumn("later", F.coalesce(F.sum("n_rows").over(later_days), F.lit(0)))
         .filter(F.col("later") < LONG_MEAN - 1)
         .select("series", "trade_date")
     )
@@ -67,11 +71,15 @@ def _warmup_dates(older: DataFrame, traded: DataFrame) -> DataFrame:
 def load_realtime(warehouse: Warehouse, bars: DataFrame, table: str = "fct_realtime_ohlcv") -> None:
     """Upsert: rebuild the newest loaded date and add later ones, a date at a time.
 
-    Replacing whole dates also drops rows whose bars have gone from the source.
+    Replacing whole dates also drops rows whose bars have gone from the source. The newest
+    date and the warm-up dates come from the load log, so that a load reads its own and the
+    warm-up partitions only. The log is written last: a load that fails before it is done again.
     """
-    since = last_date(warehouse.read_or_none(table))
-    result = fct_realtime_ohlcv(bars) if since is None else realtime_since(bars, since)
+    earlier = load_log.logged(warehouse, table)
+    since = last_date(warehouse.read_or_none(table) if earlier is None else earlier)
+    result = fct_realtime_ohlcv(bars) if since is None else realtime_since(bars, since, earlier)
     replace_dates(result, warehouse.path(table), cluster=("symbol", "window_start"))
+    load_log.record(warehouse, table, series_key(), None if earlier is None else since)
 
 
 def load_daily(

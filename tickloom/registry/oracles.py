@@ -585,6 +585,11 @@ def all_oracles() -> dict[str, str]:
                     ELSE 'pass' END AS status FROM trades""",
         ),
         "incremental_realtime": realtime,
+        "incremental_load_log": _with(
+            [TRADES, MINUTE_BARS],
+            """SELECT '=' || symbol AS series, CAST(window_start AS DATE) AS trade_date, count(*) AS n_rows
+               FROM bars GROUP BY ALL""",
+        ),
         "incremental_daily": _two_loads(
             "trade_date <> DATE '2024-01-15' OR window_start < TIMESTAMP '2024-01-15 12:00:00'"
         ),
@@ -640,6 +645,19 @@ def all_oracles() -> dict[str, str]:
                FROM bars WHERE window_end <= (SELECT max(event_time) - INTERVAL 30 SECONDS FROM trades)
                GROUP BY symbol, CAST(window_start AS DATE)""",
         ),
+        "stream_dedup": _with(
+            [
+                TRADES,
+                """landed AS (SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-11' THEN 1
+                   WHEN event_time < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS landing FROM trades)""",
+                """sent AS (SELECT symbol, price, volume, exchange, event_time, landing FROM landed
+                   WHERE landing > 1 OR exchange <> '1'
+                   UNION ALL SELECT symbol, CASE exchange WHEN '0' THEN price + 1 ELSE price END, volume, exchange, event_time,
+                   later FROM landed, range(2, 4) AS landings(later) WHERE landing < later AND exchange IN ('0', '1'))""",
+            ],
+            """SELECT symbol, round(price + sign(price) * 1e-9, 6) AS price, volume, exchange, event_time FROM sent
+               QUALIFY row_number() OVER (PARTITION BY symbol, event_time ORDER BY landing, price, volume, exchange) = 1""",
+        ),
         "stream_messages_out": _with(
             [TRADES],
             """SELECT symbol AS "key", count(*) AS messages, CAST(sum(volume) AS BIGINT) AS volume

@@ -12,7 +12,7 @@ from tickloom.functions.rounding import round_half_up
 from tickloom.operators import alerts, anomaly, dedup, quality, reconcile, universe
 from tickloom.operators.bars import ohlcv
 from tickloom.operators.daily import daily_summary
-from tickloom.plans import dashboards, marts
+from tickloom.plans import dashboards, load_log, marts
 from tickloom.plans.daily_run import aggregate_range
 from tickloom.plans.incremental import load_daily, load_realtime, load_symbols
 from tickloom.plans.intermediate import int_anomaly_summary, int_symbol_daily_stats
@@ -24,6 +24,7 @@ from tickloom.sinks.tables import drop_dates, replace_dates
 from tickloom.sources import events, intraday, messages, ticks
 from tickloom.sources.warehouse import Warehouse
 from tickloom.streaming.anomaly_stream import start_anomaly_stream
+from tickloom.streaming.dedup_stream import start_first_sightings
 from tickloom.streaming.speed_layer import bar_stream, raw_trades, start_speed_layer
 
 AS_OF = dt.date(2024, 1, 15)
@@ -443,6 +444,16 @@ def _incremental_realtime(spark, sf_dir):
     return warehouse.read("fct_realtime_ohlcv")
 
 
+@query("incremental_load_log")
+def _incremental_load_log(spark, sf_dir):
+    """Rows by symbol and date that the same two loads have recorded."""
+    warehouse = Warehouse(spark, run_dir(spark, "incremental_load_log"))
+    bars = _staged_bars(spark, sf_dir)
+    load_realtime(warehouse, bars.filter(F.col("window_start") < FIRST_LOAD_ENDS))
+    load_realtime(warehouse, bars)
+    return load_log.logged(warehouse, "fct_realtime_ohlcv").drop("logged_at")
+
+
 def _load_daily_twice(spark, sf_dir, mode):
     warehouse = Warehouse(spark, run_dir(spark, f"incremental_{mode}"))
     bars, found = _staged_bars(spark, sf_dir), stg_anomalies(_anomalies(spark, sf_dir))
@@ -604,6 +615,27 @@ def _stream_late_rows(spark, sf_dir):
     return raw.unionByName(_per_day(tables.read("bars"), "bars", F.sum("trade_count"), F.sum("volume")))
 
 
+@query("stream_dedup")
+def _stream_dedup(spark, sf_dir):
+    """Each trade once: venue 1 is first sent a landing late, then again, venue 0 again at another price."""
+    folder = run_dir(spark, "stream_dedup")
+
+    def sent(part, low):
+        if low is None:
+            return events.trade_messages(part.filter("exchange <> '1'")).select("value")
+        earlier = _trades(part.sparkSession, sf_dir).filter(F.col("event_time") < F.lit(low).cast("timestamp"))
+        again = earlier.filter("exchange IN ('0', '1')")
+        again = again.withColumn("price", F.when(F.col("exchange") == "0", F.col("price") + 1).otherwise(F.col("price")))
+        return events.trade_messages(part.unionByName(again)).select("value")
+
+    def resume(sent):
+        trades = messages.decode_trades(sent)
+        start_first_sightings(trades, f"{folder}/trades", f"{folder}/checkpoint", AVAILABLE_NOW).awaitTermination()
+
+    _land(spark, sf_dir, folder, sent, resume)
+    return spark.read.parquet(f"{folder}/trades").select("symbol", "price", "volume", "exchange", "event_time")
+
+
 @query("stream_messages_out")
 def _stream_messages_out(spark, sf_dir):
     """Trades published again as keyed JSON messages."""
