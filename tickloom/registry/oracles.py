@@ -663,5 +663,10 @@ def all_oracles() -> dict[str, str]:
             """SELECT symbol AS "key", count(*) AS messages, CAST(sum(volume) AS BIGINT) AS volume
                FROM trades GROUP BY symbol""",
         ),
+        "stream_message_contents": _with(
+            [TRADES],
+            """SELECT symbol AS "key", 5 AS n_fields, symbol, round(price + sign(price) * 1e-9, 6) AS price, volume, exchange,
+               date_trunc('millisecond', event_time) AS event_time FROM trades""",
+        ),
         "stream_anomalies": _with(ANOMALIES, "SELECT * EXCLUDE (seq, detected_at) FROM found"),
     }

@@ -654,6 +654,24 @@ def _stream_messages_out(spark, sf_dir):
     )
 
 
+@query("stream_message_contents")
+def _stream_message_contents(spark, sf_dir):
+    """Every published message, read back field by field."""
+    folder = run_dir(spark, "stream_message_contents")
+    _stream_in_landings(
+        spark,
+        sf_dir,
+        folder,
+        lambda trades: to_message_files(
+            trades.select("symbol", "price", "volume", "exchange", "event_time"), f"{folder}/out", f"{folder}/checkpoint", AVAILABLE_NOW
+        ),
+    )
+    body = F.from_json("value", "symbol string, price double, volume bigint, exchange string, event_time timestamp")
+    sent = spark.read.schema("key string, value string").json(f"{folder}/out")
+    n_fields = F.size(F.json_object_keys("value")).alias("n_fields")
+    return sent.select("key", n_fields, body.alias("body")).select("key", "n_fields", "body.*")
+
+
 @query("stream_anomalies")
 def _stream_anomalies(spark, sf_dir):
     folder = run_dir(spark, "stream_anomalies")
