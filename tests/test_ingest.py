@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from tickloom.operators import dedup, universe
 from tickloom.sources import intraday, messages, ticks
 
@@ -47,6 +49,20 @@ def test_ticks(spark):
     assert (c.symbol, c.price, c.volume) == ("C", None, 7)
 
 
+def test_damaged_ticks_of_repeated_and_missing_ids(spark, trades_of):
+    from tickloom.sources import events
+
+    trades = trades_of([("A", p, 1, 0) for p in (150.0, 50.0, 1.5, None, 0.5, 7.0)])
+    ids = F.create_map(*[F.lit(x) for pair in ((0, 0), (1, 1), (2, 1), (3, 3), (4, 4)) for x in pair])
+    sent = events.damaged_ticks(trades.withColumn("seq", ids[F.col("seq").cast("int")].cast("bigint"))).collect()
+    assert sorted(r.seq for r in sent) == [0, 1, 1, 1, 1, 3, 4]
+    values = {seq: sorted(r.value for r in sent if r.seq == seq) for seq in (0, 1, 3, 4)}
+    assert values[0] == ["[{bad"]
+    assert values[1][:2] == ["[]", "[]"] and [json.loads(v)[0]["p"] for v in values[1][2:]] == [1.5, 50.0]
+    assert json.loads(values[3][0])[0].get("p") is None and len(json.loads(values[3][0])) == 2
+    assert json.loads(values[4][0])[0]["t"] == 9223372036854775807
+
+
 def test_intraday(spark):
     bar = lambda close: {"1. open": "1.0", "2. high": "3.0", "3. low": "0.5", "4. close": close, "5. volume": "100"}
     responses = spark.createDataFrame(

@@ -14,6 +14,7 @@ from tickloom.plans.marts import fct_realtime_ohlcv
 from tickloom.plans.staging import stg_trades
 from tickloom.session import run_dir
 from tickloom.sinks.tables import replace_dates
+from tickloom.sources import events
 from tickloom.sources.events import read_trades
 
 
@@ -50,6 +51,15 @@ def test_dedup_cuts_copies_before_the_shuffle(trades):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_damaged_ticks_are_dealt_once_over_tasks_by_rows(trades, monkeypatch):
+    monkeypatch.setattr(events, "TASK_ROWS", 150)
+    text = plan(events.damaged_ticks(trades))
+    assert "Join" not in text and text.count("FileScan") == 1
+    assert text.count("Exchange") == 1
+    dealt = text.split("Exchange hashpartitioning(seq")[1].split(")")[0]
+    assert int(dealt.split(", ")[1]) == -(-trades.count() // 150) > 4
+
+
 def test_daily_stats_scan_once(trades):
     bars = trades.selectExpr(
         "symbol", "trade_date", "event_time as window_start", "hour(event_time) as trade_hour", "price as open",

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tickloom.functions.temporal import iso_text
 from tickloom.operators.bars import ohlcv
 from tickloom.sources.intraday import ERROR_KEY, NOTE_KEY, SERIES_KEY
 
+#: Trades that one task handles when damaged ticks are dealt by their id.
+TASK_ROWS = 100_000
+
 
 def read_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """symbol, price, volume, event_time, exchange, loaded_at and seq (the event id)."""
@@ -90,8 +94,8 @@ def damaged_messages(trades: DataFrame) -> DataFrame:
     return trades.select("seq", value.alias("value"))
 
 
-def tick_messages(trades: DataFrame) -> DataFrame:
-    """Vendor tick arrays: each holds a trade and a quote event; clicks lack conditions."""
+def tick_messages(trades: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Vendor tick arrays: each holds a trade and a quote event; clicks lack conditions. ``keep`` columns stay."""
     millis = F.unix_millis("event_time")
     trade = F.struct(
         F.lit("T").alias("ev"),
@@ -111,16 +115,24 @@ def tick_messages(trades: DataFrame) -> DataFrame:
         F.lit(None).cast("int").alias("x"),
         F.lit(None).cast("array<int>").alias("c"),
     )
-    return trades.select("seq", F.to_json(F.array(trade, quote)).alias("value"))
+    return trades.select("seq", *keep, F.to_json(F.array(trade, quote)).alias("value"))
 
 
 def damaged_ticks(trades: DataFrame) -> DataFrame:
-    """Tick arrays of which some are unreadable, empty, or hold a time no timestamp can, by price."""
-    price = F.col("price")
+    """Tick arrays of which some are unreadable, empty, or hold a time no timestamp can, by price.
+
+    A ``seq`` that repeats sends each of its arrays once for each of its prices; trades without one send
+    nothing. Trades are counted when this is called and dealt by ``seq`` over as many tasks as they need, so
+    that what a task sorts does not grow with the input.
+    """
+    price = F.col("priced.price")
     far = F.regexp_replace("value", '"t":[0-9]+', '"t":9223372036854775807')
     value = F.when(price >= 100, F.lit("[{bad")).when(price < 1, far).when(price < 2, F.lit("[]")).otherwise(F.col("value"))
-    whole = tick_messages(trades).join(trades.select("seq", "price"), "seq")
-    return whole.select("seq", value.alias("value"))
+    tasks = max(1, -(-trades.count() // TASK_ROWS))
+    sent = tick_messages(trades, keep=("price",)).filter(F.col("seq").isNotNull()).repartition(tasks, "seq")
+    prices = F.collect_list(F.struct("price")).over(W.partitionBy("seq"))
+    whole = sent.select("seq", "value", prices.alias("prices"))
+    return whole.select("seq", "value", F.explode("prices").alias("priced")).select("seq", value.alias("value"))
 
 
 def damaged_responses(trades: DataFrame) -> DataFrame:
