@@ -63,6 +63,22 @@ def test_damaged_ticks_of_repeated_and_missing_ids(spark, trades_of):
     assert json.loads(values[4][0])[0]["t"] == 9223372036854775807
 
 
+def test_rejected_ticks_in_one_pass(spark):
+    texts = [None, "5", "[{bad", "[]", "[null]", '[{"ev":"T","t":1},{"ev":"Q"},{"ev":"T","t":9223372036854775807}]']
+    sent = spark.createDataFrame(list(enumerate(texts)), "seq int, value string")
+    rejected = ticks.rejected_ticks(sent, keep=("seq",))
+    assert {(r.seq, r.event_index, r.value, r.reason) for r in rejected.collect()} == {
+        (0, None, None, "malformed"),
+        (1, None, "5", "malformed"),
+        (2, None, "[{bad", "malformed"),
+        (3, None, "[]", "empty"),
+        (4, 0, None, "not_an_event"),
+        (5, 1, '{"ev":"Q"}', "not_a_trade"),
+        (5, 2, '{"ev":"T","t":"9223372036854775807"}', "time_out_of_range"),
+    }
+    assert "Union" not in rejected._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_intraday(spark):
     bar = lambda close: {"1. open": "1.0", "2. high": "3.0", "3. low": "0.5", "4. close": close, "5. volume": "100"}
     responses = spark.createDataFrame(

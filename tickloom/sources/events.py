@@ -122,16 +122,16 @@ def damaged_ticks(trades: DataFrame) -> DataFrame:
     """Tick arrays of which some are unreadable, empty, or hold a time no timestamp can, by price.
 
     A ``seq`` that repeats sends each of its arrays once for each of its prices; trades without one send
-    nothing. Trades are counted when this is called and dealt by ``seq`` over as many tasks as they need, so
-    that what a task sorts does not grow with the input.
+    nothing. Trades are counted when this is called and dealt by ``seq``, before they become text, over as
+    many tasks as they need, so that what a task sorts does not grow with the input.
     """
     price = F.col("priced.price")
     far = F.regexp_replace("value", '"t":[0-9]+', '"t":9223372036854775807')
     value = F.when(price >= 100, F.lit("[{bad")).when(price < 1, far).when(price < 2, F.lit("[]")).otherwise(F.col("value"))
     tasks = max(1, -(-trades.count() // TASK_ROWS))
-    sent = tick_messages(trades, keep=("price",)).filter(F.col("seq").isNotNull()).repartition(tasks, "seq")
+    dealt = trades.filter(F.col("seq").isNotNull()).repartition(tasks, "seq")
     prices = F.collect_list(F.struct("price")).over(W.partitionBy("seq"))
-    whole = sent.select("seq", "value", prices.alias("prices"))
+    whole = tick_messages(dealt.withColumn("prices", prices), keep=("prices",))
     return whole.select("seq", "value", F.explode("prices").alias("priced")).select("seq", value.alias("value"))
 
 
